@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from checks import sql_readmodel, sql_report
-from quarterfold.fixtures import Fixtures
+from checks import sql_readmodel, sql_report, sql_rules
+from quarterfold.fixtures import Fixtures, Renamed
+from quarterfold.operators import rules
+from quarterfold.operators.views import VIEWS
 from quarterfold.plans import readmodel, report
 from quarterfold.plans.indicators import INDICATORS
 from quarterfold.plans.layout import cells
@@ -56,12 +58,58 @@ def _all_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.report_all_quarters(spark, m.report, m.details, *YEARS)
 
 
+def source_tables(spark: SparkSession, sf_dir: str) -> Renamed:
+    """The source side of a migration, by plain table names."""
+    return Renamed(Fixtures(spark, sf_dir), "src_")
+
+
+def _view(name: str) -> Query:
+    return lambda spark, sf_dir: VIEWS[name](Fixtures(spark, sf_dir))
+
+
+def _age(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = source_tables(spark, sf_dir)
+    visits = src["encounter"].select("patient_id", "encounter_id", "encounter_datetime")
+    aged = rules.patient_ages(visits, src["patient"], "encounter_datetime", "2001-03-31")
+    return aged.select("patient_id", "encounter_id", aged.age.cast("long").alias("age"))
+
+
+def _regimen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = source_tables(spark, sf_dir)
+    drugs = src["drug_order"].join(src["drug"].selectExpr("drug_id AS drug_inventory_id", "concept_id AS regimen"), "drug_inventory_id", "left")
+    dispensed = (
+        src["orders"].select("order_id", "encounter_id", "date_created")
+        .join(src["encounter"].select("encounter_id", "patient_id"), "encounter_id")
+        .join(drugs.select("order_id", "regimen"), "order_id")
+    )
+    return rules.regimen_category(dispensed, src["patient"], "regimen", "date_created", AS_OF).select(
+        "order_id", "patient_id", "category"
+    )
+
+
+def _stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = source_tables(spark, sf_dir)
+    asked = src["patient"].selectExpr("patient_id", f"DATE'{AS_OF}' AS asked")
+    staged = rules.who_stage(src, asked, AS_OF)
+    return staged.select("patient_id", "band", staged.stage.cast("long").alias("stage"))
+
+
+def _reason(compat: str) -> Query:
+    return lambda spark, sf_dir: rules.art_eligibility_reason(source_tables(spark, sf_dir), AS_OF, compat)
+
+
 QUERIES: dict[str, Query] = {
     "patient_report": lambda s, d: built_model(s, d).report,
     "patient_quarter": lambda s, d: built_model(s, d).details,
     "cohort_report": _report,
     "cohort_report_all_quarters": _all_quarters,
     **{f"ind_{n}": _single(n) for n in INDICATORS},
+    **{f"view_{n}": _view(n) for n in VIEWS},
+    "rule_age": _age,
+    "rule_regimen": _regimen,
+    "rule_stage": _stage,
+    "rule_reason": _reason("intended"),
+    "rule_reason_as_written": _reason("as_written"),
 }
 
 SQL: dict[str, str] = {
@@ -72,4 +120,6 @@ SQL: dict[str, str] = {
     **{
         f"ind_{n}": sql_report.figure(n, *(PERIOD_A if n.startswith("new_") else PERIOD_B)) for n in INDICATORS
     },
+    **{f"view_{n}": sql_readmodel.with_tables(t) + q for n, (t, q) in sql_rules.VIEW_SQL.items()},
+    **sql_rules.RULE_SQL,
 }

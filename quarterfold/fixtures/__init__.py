@@ -61,3 +61,14 @@ class Fixtures:
                 text = TABLES[name].replace("{ts}", "TIMESTAMP_NTZ")
                 self._built[name] = self.spark.sql(text, **refs)
         return self._built[name]
+
+
+class Renamed:
+    """Tables of a prefix under their plain names; a name without a prefixed table stays as it is."""
+
+    def __init__(self, tables: Fixtures, prefix: str):
+        self.tables, self.prefix = tables, prefix
+
+    def __getitem__(self, name: str) -> DataFrame:
+        prefixed = self.prefix + name
+        return self.tables[prefixed if prefixed in TABLES else name]
