@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from checks import sql_readmodel, sql_report, sql_rules
+from checks import queries_migration, sql_migration, sql_readmodel, sql_report, sql_rules
 from quarterfold.fixtures import Fixtures, Renamed
 from quarterfold.operators import rules
 from quarterfold.operators.views import VIEWS
@@ -110,6 +110,7 @@ QUERIES: dict[str, Query] = {
     "rule_stage": _stage,
     "rule_reason": _reason("intended"),
     "rule_reason_as_written": _reason("as_written"),
+    **queries_migration.queries(),
 }
 
 SQL: dict[str, str] = {
@@ -122,4 +123,5 @@ SQL: dict[str, str] = {
     },
     **{f"view_{n}": sql_readmodel.with_tables(t) + q for n, (t, q) in sql_rules.VIEW_SQL.items()},
     **sql_rules.RULE_SQL,
+    **sql_migration.MIGRATION_SQL,
 }
