@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from checks import queries_migration, sql_migration, sql_readmodel, sql_report, sql_rules
+from checks import queries_migration, queries_streaming, sql_migration, sql_readmodel, sql_report, sql_rules
 from quarterfold.fixtures import Fixtures, Renamed
 from quarterfold.operators import rules
 from quarterfold.operators.views import VIEWS
@@ -63,6 +63,21 @@ def source_tables(spark: SparkSession, sf_dir: str) -> Renamed:
     return Renamed(Fixtures(spark, sf_dir), "src_")
 
 
+def _header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header of the period that spans all visits."""
+    fixtures = Fixtures(spark, sf_dir)
+    visits = fixtures["encounter"].selectExpr("to_date(min(encounter_datetime)) AS s", "to_date(max(encounter_datetime)) AS e")
+    return report.headers(fixtures["global_property"], visits, "s", "e").select("site", "period")
+
+
+def _headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header of each quarter with a visit."""
+    fixtures = Fixtures(spark, sf_dir)
+    quarters = fixtures["encounter"].selectExpr("trunc(encounter_datetime, 'quarter') AS s").distinct()
+    quarters = quarters.selectExpr("s", "last_day(add_months(s, 2)) AS e")
+    return report.headers(fixtures["global_property"], quarters, "s", "e").select("s", "e", "site", "period")
+
+
 def _view(name: str) -> Query:
     return lambda spark, sf_dir: VIEWS[name](Fixtures(spark, sf_dir))
 
@@ -103,6 +118,8 @@ QUERIES: dict[str, Query] = {
     "patient_quarter": lambda s, d: built_model(s, d).details,
     "cohort_report": _report,
     "cohort_report_all_quarters": _all_quarters,
+    "report_header": _header,
+    "report_headers": _headers,
     **{f"ind_{n}": _single(n) for n in INDICATORS},
     **{f"view_{n}": _view(n) for n in VIEWS},
     "rule_age": _age,
@@ -111,6 +128,7 @@ QUERIES: dict[str, Query] = {
     "rule_reason": _reason("intended"),
     "rule_reason_as_written": _reason("as_written"),
     **queries_migration.queries(),
+    **queries_streaming.QUERIES,
 }
 
 SQL: dict[str, str] = {
@@ -118,10 +136,15 @@ SQL: dict[str, str] = {
     "patient_quarter": sql_readmodel.read_model("SELECT * FROM d"),
     "cohort_report": sql_report.report(*PERIOD_A, cells()),
     "cohort_report_all_quarters": sql_report.all_quarters(*YEARS),
+    "report_header": sql_report.HEADER,
+    "report_headers": sql_report.HEADERS,
     **{
         f"ind_{n}": sql_report.figure(n, *(PERIOD_A if n.startswith("new_") else PERIOD_B)) for n in INDICATORS
     },
     **{f"view_{n}": sql_readmodel.with_tables(t) + q for n, (t, q) in sql_rules.VIEW_SQL.items()},
     **sql_rules.RULE_SQL,
     **sql_migration.MIGRATION_SQL,
+    "stream_patient_report": sql_readmodel.read_model("SELECT * FROM p"),
+    "stream_patient_quarter": sql_readmodel.read_model("SELECT * FROM d"),
+    "patient_report_by_arrival": sql_readmodel.by_arrival("SELECT * FROM p"),
 }

@@ -264,4 +264,9 @@ _STEPS: dict[str, tuple[list[str], list, str]] = {
           (SELECT encounter_id FROM fx_encounter WHERE patient_id IN (SELECT person_id FROM fx_person WHERE dead = 1)))"""),
 }
 
+_STEPS["stream_states_once"] = (
+    [t for t in _STEPS["mig_states_from_obs"][0] if t != "obs_edit_audit"], _STEPS["mig_states_from_obs"][1],
+    _STEPS["mig_states_from_obs"][2].replace("AND o.obs_id NOT IN (SELECT obs_id FROM fx_obs_edit_audit)", ""),
+)
+
 MIGRATION_SQL = {name: with_tables(tables, *queries) + select for name, (tables, queries, select) in _STEPS.items()}

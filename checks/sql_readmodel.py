@@ -167,6 +167,16 @@ READ_MODEL = [
 ]
 
 
+def by_arrival(select: str) -> str:
+    """The same with the last arrival winning, rows arriving by ``id * 7919 mod 100003``."""
+    arrived = "((id * 7919) % 100003)"
+    queries = [
+        (n, q.replace("ORDER BY tm DESC,", f"ORDER BY {arrived} DESC,").replace("ORDER BY tm,", f"ORDER BY {arrived},"))
+        for n, q in READ_MODEL
+    ]
+    return with_tables(READ_MODEL_TABLES, *queries) + select
+
+
 def read_model(select: str, *more: tuple[str, str]) -> str:
     """``select`` over the read-model tables ``p`` and ``d``."""
     return with_tables(READ_MODEL_TABLES, *READ_MODEL, *more) + select

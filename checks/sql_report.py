@@ -7,7 +7,7 @@ the first and last day.
 
 from __future__ import annotations
 
-from checks.sql_readmodel import read_model
+from checks.sql_readmodel import read_model, with_tables
 
 _NEW = "CAST(registration_date AS DATE) >= :S AND CAST(registration_date AS DATE) <= :E AND art_start_date IS NOT NULL"
 _CUM = "CAST(registration_date AS DATE) <= :E AND art_start_date IS NOT NULL"
@@ -150,3 +150,16 @@ def all_quarters(from_year: int, to_year: int) -> str:
         for name, (table, condition) in FIGURES.items()
     ]
     return read_model("\nUNION ALL ".join(parts), _PD, quarters)
+
+
+_LABEL = """CASE WHEN date_trunc('quarter', s) = date_trunc('quarter', e)
+    THEN year(s) || ' - ' || CASE quarter(s) WHEN 1 THEN '1st' WHEN 2 THEN '2nd' WHEN 3 THEN '3rd' ELSE '4th' END || ' Quarter'
+    ELSE strftime(s, '%d/%b/%Y') || ' to ' || strftime(e, '%d/%b/%Y') END AS period"""
+_SITE = """(SELECT array_to_string(list_transform(regexp_split_to_array(trim(property_value), '\\s+'),
+    lambda w: upper(w[1]) || lower(w[2:])), ' ') FROM fx_global_property WHERE property = 'current_health_center_name') AS site"""
+_TABLES = ["global_property", "encounter"]
+HEADER = with_tables(_TABLES) + f"""SELECT {_SITE}, {_LABEL} FROM (
+    SELECT CAST(min(encounter_datetime) AS DATE) AS s, CAST(max(encounter_datetime) AS DATE) AS e FROM fx_encounter)"""
+HEADERS = with_tables(_TABLES) + f"""SELECT s, e, {_SITE}, {_LABEL} FROM (
+    SELECT DISTINCT CAST(date_trunc('quarter', encounter_datetime) AS DATE) AS s,
+      CAST(date_trunc('quarter', encounter_datetime) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS e FROM fx_encounter)"""

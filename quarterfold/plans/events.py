@@ -82,35 +82,50 @@ FIRST_WINS = ("first_start",)
 
 @dataclass(frozen=True)
 class Ordering:
-    """How competing events are ranked."""
+    """How competing events are ranked.
+
+    ``arrival`` and ``version`` name columns of the source tables. ``version``
+    tells apart an update from the row it updates: same time and id, the
+    higher version wins.
+    """
 
     arrival: str | None = None
+    version: str | None = None
 
-    def slot_type(self, slot: str) -> str:
-        value = SLOTS[slot]
-        tail = f", v: {value}" if value else ""
+    def _fields(self, slot: str) -> dict[str, str]:
+        """Fields of a slot in ranking order, with their types."""
+        ranked = {"at": "timestamp_ntz", "id": "bigint"}
         if self.arrival:
-            return f"struct<seq: bigint, id: bigint, at: timestamp_ntz{tail}>"
-        return f"struct<at: timestamp_ntz, id: bigint{tail}>" if value else "timestamp_ntz"
+            ranked = {"seq": "bigint", "id": "bigint", "at": "timestamp_ntz"}
+        elif self.version:
+            ranked["ver"] = "bigint"
+        return ranked | ({"v": SLOTS[slot]} if SLOTS[slot] else {})
+
+    def _time_only(self, slot: str) -> bool:
+        return SLOTS[slot] is None and not self.arrival
+
+    def slot_type(self, slot: str) -> str:
+        if self._time_only(slot):
+            return "timestamp_ntz"
+        return f"struct<{', '.join(f'{n}: {t}' for n, t in self._fields(slot).items())}>"
 
     def slot(self, name: str, rule: Rule | None) -> str:
         """SQL of a slot: its candidate where the rule holds, else NULL."""
         if rule is None:
             return f"CAST(NULL AS {self.slot_type(name)}) AS {name}"
         condition, value = rule if isinstance(rule, tuple) else (rule, None)
-        parts = ["seq"] if self.arrival else []
-        parts += ["id", "at"] if self.arrival else ["at", "id"]
-        fields = [f"'{c}', {c}" for c in parts] + ([f"'v', {value}"] if value else [])
-        packed = f"named_struct({', '.join(fields)})" if value or self.arrival else "at"
+        fields = ", ".join(f"'{f}', {value if f == 'v' else f}" for f in self._fields(name))
+        packed = "at" if self._time_only(name) else f"named_struct({fields})"
         return f"CAST(CASE WHEN {condition} THEN {packed} END AS {self.slot_type(name)}) AS {name}"
 
-    def seq(self) -> list[str]:
-        """The ranking column of a source table."""
-        return [f"CAST({self.arrival} AS BIGINT) AS seq"] if self.arrival else []
+    def ranking(self) -> list[str]:
+        """The ranking columns a source table brings."""
+        named = {"seq": self.arrival, "ver": None if self.arrival else self.version}
+        return [f"CAST({column} AS BIGINT) AS {name}" for name, column in named.items() if column]
 
     def time(self, slot: str) -> str:
         """Event time of the winning row of a slot."""
-        return f"{slot}.at" if self.arrival or SLOTS[slot] else slot
+        return slot if self._time_only(slot) else f"{slot}.at"
 
 
 def _asks(column: str, roles: Mapping[str, tuple[str, ...]], *wanted: str) -> str:
@@ -219,7 +234,7 @@ class ClinicalEvents:
         """Rules that need the observation alone; every observation is a visit."""
         obs = self.tables["obs"] if obs is None else obs
         rows = obs.selectExpr(
-            "person_id AS patient_id", "obs_datetime AS at", "obs_id AS id", *self.ordering.seq(),
+            "person_id AS patient_id", "obs_datetime AS at", "obs_id AS id", *self.ordering.ranking(),
             "concept_id", "value_coded", "value_coded_name_id",
         )
         rows = rows.join(self._questions, "concept_id", "left").join(self._answers, "value_coded", "left")
@@ -231,7 +246,7 @@ class ClinicalEvents:
         visits = self.tables["encounter"].select("encounter_id", "encounter_type")
         visits = visits.join(self._visit_types, "encounter_type").select("encounter_id", "visit_roles")
         rows = obs.selectExpr(
-            "person_id AS patient_id", "obs_datetime AS at", "obs_id AS id", *self.ordering.seq(),
+            "person_id AS patient_id", "obs_datetime AS at", "obs_id AS id", *self.ordering.ranking(),
             "encounter_id", "concept_id", "value_coded", "value_datetime", "value_numeric", "value_text",
         )
         rows = (
@@ -244,7 +259,7 @@ class ClinicalEvents:
     def states(self, patient_state: DataFrame | None = None) -> DataFrame:
         states = self.tables["patient_state"] if patient_state is None else patient_state
         rows = states.selectExpr(
-            "patient_program_id", "patient_state_id AS id", *self.ordering.seq(), "state",
+            "patient_program_id", "patient_state_id AS id", *self.ordering.ranking(), "state",
             "CAST(start_date AS TIMESTAMP_NTZ) AS at",
         )
         rows = rows.join(
@@ -259,7 +274,7 @@ class ClinicalEvents:
             arv_drugs(t["drug"], t["concept_set"], t["concept_name"], ARV_SET, ARV_CONCEPTS), source=t["drug"]
         ).selectExpr("drug_id AS drug_inventory_id")
         given = drugs.filter("quantity > 0").selectExpr(
-            "order_id", *self.ordering.seq(), "drug_inventory_id", "quantity", "equivalent_daily_dose"
+            "order_id", *self.ordering.ranking(), "drug_inventory_id", "quantity", "equivalent_daily_dose"
         )
         orders = t["orders"].selectExpr("order_id", "patient_id", "start_date AS at", "auto_expire_date")
         rows = given.join(arvs, "drug_inventory_id", "left_semi").join(orders, "order_id")
@@ -269,7 +284,7 @@ class ClinicalEvents:
         """The quarter of a death is that of the person record, as the record system has it."""
         people = self.tables["person"] if person is None else person
         rows = people.filter("dead = 1").selectExpr(
-            "person_id AS patient_id", "date_created AS at", "person_id AS id", *self.ordering.seq(), "death_date"
+            "person_id AS patient_id", "date_created AS at", "person_id AS id", *self.ordering.ranking(), "death_date"
         )
         return self._event(rows, DEATH_RULES)
 

@@ -103,10 +103,16 @@ def indicator(name: str, report: DataFrame, details: DataFrame, start, end) -> D
     return joined.filter(condition).agg(F.countDistinct("patient_id").alias("value"))
 
 
-def report_header(properties: DataFrame, start, end) -> DataFrame:
+def headers(properties: DataFrame, periods: DataFrame, start: str, end: str) -> DataFrame:
+    """Adds ``site`` and ``period`` label to every period."""
+    site = current_site(properties).select("site").scalar()
+    return periods.withColumn("site", site).withColumn("period", period_label(F.col(start), F.col(end)))
+
+
+def report_header(spark: SparkSession, properties: DataFrame, start, end) -> DataFrame:
     """Site name and period label above the report."""
-    first, last = (F.lit(str(v)).cast("date") for v in (start, end))
-    return current_site(properties).select("site", period_label(first, last).alias("period"))
+    one = spark.range(1).selectExpr(f"{sql_day(start)} AS s", f"{sql_day(end)} AS e")
+    return headers(properties, one, "s", "e").select("site", "period")
 
 
 def calendar(spark: SparkSession, from_year: int, to_year: int) -> DataFrame:
