@@ -35,6 +35,9 @@ NAMED_CONCEPTS = (
     (2516, "Date antiretrovirals started"),
     (7882, "HIV PROGRAM"),
     (1085, "Arvs"),
+    (7001, "First treatment drug"),
+    (7002, "Second treatment drug"),
+    (7003, "Third treatment drug"),
     (1742, "Patient died"),
     (1744, "Patient transferred out"),
     (1579, "Treatment stopped"),
