@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from checks import queries_migration, queries_streaming, sql_migration, sql_readmodel, sql_report, sql_rules
-from quarterfold.fixtures import Fixtures, Renamed
+from quarterfold.fixtures import Renamed, fixtures_of
 from quarterfold.operators import rules
 from quarterfold.operators.views import VIEWS
 from quarterfold.plans import readmodel, report
@@ -25,7 +25,7 @@ _written: dict[tuple[str, str], str] = {}
 
 
 def built_model(spark: SparkSession, sf_dir: str) -> readmodel.ReadModel:
-    return readmodel.build(Fixtures(spark, sf_dir), AS_OF)
+    return readmodel.build(fixtures_of(spark, sf_dir), AS_OF)
 
 
 def stored_model(spark: SparkSession, sf_dir: str) -> readmodel.ReadModel:
@@ -33,7 +33,7 @@ def stored_model(spark: SparkSession, sf_dir: str) -> readmodel.ReadModel:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _written:
         path = fresh_path(spark, "read-model")
-        readmodel.write(spark, Fixtures(spark, sf_dir), AS_OF, path)
+        readmodel.write(spark, fixtures_of(spark, sf_dir), AS_OF, path)
         _written[key] = path
     return readmodel.read(spark, _written[key])
 
@@ -60,26 +60,26 @@ def _all_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def source_tables(spark: SparkSession, sf_dir: str) -> Renamed:
     """The source side of a migration, by plain table names."""
-    return Renamed(Fixtures(spark, sf_dir), "src_")
+    return Renamed(fixtures_of(spark, sf_dir), "src_")
 
 
 def _header(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header of the period that spans all visits."""
-    fixtures = Fixtures(spark, sf_dir)
+    fixtures = fixtures_of(spark, sf_dir)
     visits = fixtures["encounter"].selectExpr("to_date(min(encounter_datetime)) AS s", "to_date(max(encounter_datetime)) AS e")
     return report.headers(fixtures["global_property"], visits, "s", "e").select("site", "period")
 
 
 def _headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header of each quarter with a visit."""
-    fixtures = Fixtures(spark, sf_dir)
+    fixtures = fixtures_of(spark, sf_dir)
     quarters = fixtures["encounter"].selectExpr("trunc(encounter_datetime, 'quarter') AS s").distinct()
     quarters = quarters.selectExpr("s", "last_day(add_months(s, 2)) AS e")
     return report.headers(fixtures["global_property"], quarters, "s", "e").select("s", "e", "site", "period")
 
 
 def _view(name: str) -> Query:
-    return lambda spark, sf_dir: VIEWS[name](Fixtures(spark, sf_dir))
+    return lambda spark, sf_dir: VIEWS[name](fixtures_of(spark, sf_dir))
 
 
 def _age(spark: SparkSession, sf_dir: str) -> DataFrame:

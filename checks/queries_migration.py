@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.sql_readmodel import AS_OF
-from quarterfold.fixtures import Fixtures, Renamed
+from quarterfold.fixtures import Renamed, fixtures_of
 from quarterfold.operators.mapping import KeyMaps, remap_actor
 from quarterfold.plans import migration as m
 from quarterfold.sources.maps import load_map
@@ -19,8 +19,8 @@ from quarterfold.sources.sinks import split_valid, upsert, without_rejected
 class Run:
     """Source, target dimensions and key maps over one scale-factor folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.fixtures = spark, Fixtures(spark, sf_dir)
+    def __init__(self, spark: SparkSession, sf_dir: str, tables=None):
+        self.spark, self.fixtures = spark, tables or fixtures_of(spark, sf_dir)
         self.src, self.dst = Renamed(self.fixtures, "src_"), Renamed(self.fixtures, "dst_")
         self.persons = m.users_to_persons(self.src["users"], self.src["patient"])
         self._maps: KeyMaps | None = None

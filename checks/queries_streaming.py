@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.queries_migration import Run
 from checks.sql_readmodel import AS_OF
-from quarterfold.fixtures import Fixtures
+from quarterfold.fixtures import Fixtures, fixtures_of
 from quarterfold.plans import migration, readmodel
 from quarterfold.plans.events import Ordering
 from quarterfold.sources.scratch import fresh_path
@@ -34,7 +34,7 @@ def _arriving(spark: SparkSession, fixtures: Fixtures, name: str, folder: str, f
 
 def _stream_model(spark: SparkSession, sf_dir: str) -> readmodel.ReadModel:
     """Streams everything once per session and folder, compacting half way."""
-    fixtures = Fixtures(spark, sf_dir)
+    fixtures = fixtures_of(spark, sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _streamed:
         target, folder = fresh_path(spark, "upkeep"), fresh_path(spark, "arriving")
@@ -52,7 +52,7 @@ def _stream_model(spark: SparkSession, sf_dir: str) -> readmodel.ReadModel:
 def _by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last arrival wins; rows arrive in an order unrelated to their dates."""
     keys = {"obs": "obs_id", "patient_state": "patient_state_id", "drug_order": "order_id", "person": "person_id"}
-    fixtures = Fixtures(spark, sf_dir)
+    fixtures = fixtures_of(spark, sf_dir)
 
     class Numbered:
         def __getitem__(self, name: str) -> DataFrame:

@@ -63,6 +63,14 @@ class Fixtures:
         return self._built[name]
 
 
+_known: dict[tuple[str, str], Fixtures] = {}
+
+
+def fixtures_of(spark: SparkSession, sf_dir: str) -> Fixtures:
+    """The fixtures of a folder, with the same (lazy) DataFrames throughout a session."""
+    return _known.setdefault((spark.sparkContext.applicationId, sf_dir), Fixtures(spark, sf_dir))
+
+
 class Renamed:
     """Tables of a prefix under their plain names; a name without a prefixed table stays as it is."""
 

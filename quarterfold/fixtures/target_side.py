@@ -34,6 +34,7 @@ NAMED_CONCEPTS = (
     (7751, "Date ART last taken"),
     (2516, "Date antiretrovirals started"),
     (7882, "HIV PROGRAM"),
+    (7883, "TB PROGRAM"),
     (1085, "Arvs"),
     (7001, "First treatment drug"),
     (7002, "Second treatment drug"),
@@ -58,6 +59,8 @@ VISIT_TYPES = (
     (54, "DISPENSING"),
     (68, "ART ADHERENCE"),
 )
+# Programmes (program id, concept id).
+PROGRAMS = ((1, 7882), (2, 7883))
 # Workflow states (state id, concept id).
 WORKFLOW_STATES = ((1, 7012), (2, 1744), (3, 1742), (6, 1579), (7, 7010))
 # Regimen texts by quantity mod 17, the last one missing.
@@ -103,9 +106,13 @@ TARGET_SIDE: dict[str, str] = {
         "SELECT CAST(encounter_type_id AS BIGINT) AS encounter_type_id, name FROM ("
         + _values([(i, _quoted(n)) for i, n in VISIT_TYPES], "encounter_type_id, name") + ") t"
     ),
-    "program": "SELECT CAST(1 AS BIGINT) AS program_id, CAST(7882 AS BIGINT) AS concept_id",
+    "program": (
+        "SELECT CAST(p AS BIGINT) AS program_id, CAST(c AS BIGINT) AS concept_id FROM ("
+        + _values(PROGRAMS, "p, c") + ") t"
+    ),
     "program_workflow": (
-        "SELECT CAST(1 AS BIGINT) AS program_workflow_id, CAST(1 AS BIGINT) AS program_id"
+        "SELECT CAST(p AS BIGINT) AS program_workflow_id, CAST(p AS BIGINT) AS program_id FROM ("
+        + _values(PROGRAMS, "p, c") + ") t"
     ),
     "program_workflow_state": (
         "SELECT CAST(state_id AS BIGINT) AS program_workflow_state_id, CAST(1 AS BIGINT) AS program_workflow_id, "

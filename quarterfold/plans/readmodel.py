@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quarterfold.operators.lookups import Dictionary, coded_name
 from quarterfold.plans.events import FIRST_WINS, SLOTS, ClinicalEvents, Ordering
@@ -85,37 +85,50 @@ class ReadModel:
     details: DataFrame
 
 
-def starts(patients: DataFrame, people: DataFrame, rolled: DataFrame, ordering: Ordering, as_of: str) -> DataFrame:
-    """Registered patients with demographics, slots and treatment start.
+def _registered(tables) -> DataFrame:
+    """Patients on record with their demographics."""
+    demographics = tables["person"].selectExpr("person_id AS patient_id", "birthdate AS birth_date", "gender")
+    return tables["patient"].select("patient_id").join(demographics, "patient_id", "left")
+
+
+def _with_starts(df: DataFrame, ordering: Ordering, as_of: str) -> DataFrame:
+    """Treatment start from the slots ``transfer_in`` and ``first_start``.
 
     A transfer-in date given at registration takes the place of the first
     treatment state. Age is in years of 365 days: at the given start for a
     transfer-in, at ``as_of`` otherwise.
     """
-    demographics = people.select(
-        F.col("person_id").alias("patient_id"), F.col("birthdate").alias("birth_date"), "gender"
-    )
-    known = patients.select("patient_id").join(demographics, "patient_id", "left").join(rolled, "patient_id", "left")
-    first = ordering.time("first_start")
-    return (
-        known.withColumn("art_start_date", F.expr(f"coalesce(transfer_in.v, to_date({first}))"))
-        .withColumn("registration_date", F.expr(f"CASE WHEN transfer_in IS NOT NULL THEN {ordering.time('transfer_in')} ELSE {first} END"))
-        .withColumn("age_initiation", F.expr(f"""CAST(datediff(
-            CASE WHEN transfer_in IS NOT NULL THEN transfer_in.v WHEN {first} IS NOT NULL THEN DATE'{as_of}' END,
-            birth_date) AS DOUBLE) / 365D"""))
-    )
+    first, moved = ordering.time("first_start"), "transfer_in IS NOT NULL"
+    aged_on = f"CASE WHEN {moved} THEN transfer_in.v WHEN {first} IS NOT NULL THEN DATE'{as_of}' END"
+    return df.withColumns({
+        "art_start_date": F.expr(f"coalesce(transfer_in.v, to_date({first}))"),
+        "registration_date": F.expr(f"CASE WHEN {moved} THEN {ordering.time('transfer_in')} ELSE {first} END"),
+        "age_initiation": F.expr(f"CAST(datediff({aged_on}, birth_date) AS DOUBLE) / 365D"),
+    })
 
 
 def from_quarters(
     quarters: DataFrame, tables, words: Dictionary, as_of: str, ordering: Ordering = Ordering()
 ) -> ReadModel:
     """Finishes folded quarters into the two read-model tables."""
-    patients = starts(tables["patient"], tables["person"], roll_up(quarters), ordering, as_of)
+    registered = _registered(tables)
+    patients = _with_starts(registered.join(roll_up(quarters), "patient_id", "left"), ordering, as_of)
     report = _with_names(
         patients.selectExpr("patient_id", *START_COLUMNS, "birth_date", "gender", *_columns(ordering)), words
     ).select("patient_id", *START_COLUMNS, "birth_date", "gender", *DETAIL_COLUMNS)
+
+    # the start of a patient goes to all of the patient's quarters, one row each
+    of_patient = Window.partitionBy("patient_id")
+    spread = quarters.withColumns({
+        "first_start": F.min("first_start").over(of_patient),
+        "transfer_in": F.max("transfer_in").over(of_patient),
+    })
+    on_record = registered.select("patient_id", "birth_date").withColumn("on_record", F.lit(True))
+    placed = spread.join(on_record, "patient_id", "left").withColumns({
+        c: F.expr(f"CASE WHEN on_record THEN {c} END") for c in ("first_start", "transfer_in")
+    })
     details = _with_names(
-        quarters.join(patients.select("patient_id", *START_COLUMNS), "patient_id", "left").selectExpr(
+        _with_starts(placed, ordering, as_of).selectExpr(
             "patient_id", "quarter_start", *START_COLUMNS, *_columns(ordering)
         ),
         words,
