@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.sql_readmodel import AS_OF, with_tables
-from checks.sql_rules import BASE, category, of_patient, reason, stage
+from checks.sql_rules import category, of_patient, reason, stage
 from quarterfold.sources.maps import DRUG_MAP
 
 _VOID = "t.voided, {voided_by} AS voided_by, t.date_voided, t.void_reason"

@@ -164,15 +164,21 @@ _SAID_NO = f"(({_value('no')}) OR coalesce(lower(rtrim(value_text)) = 'no', FALS
 _TREATMENT_LAPSED = "coalesce(datediff(at, value_datetime) > 60, FALSE)"
 _GIVEN_START = "coalesce(to_date(value_datetime), try_to_date(substring(value_text, 1, 10)))"
 VISIT_RULES: Mapping[str, Rule] = {
-    "regimen": (f"({_concept('regimen')}) AND ({_visit('dispensing')})", "value_text"),
-    "side_effects": f"({_concept('side_effect')}) AND ({_visit('consultation')})",
-    "missed": (f"({_concept('missed')}) AND ({_visit('adherence', 'consultation')})", "value_numeric"),
-    "tb_status": (f"({_concept('tb_status')}) AND ({_visit('consultation')})", "value_coded"),
-    "not_on_art": f"({_visit('registration')}) AND "
-    f"((({_concept('taken')}) AND {_SAID_NO}) OR (({_concept('last_taken')}) AND {_TREATMENT_LAPSED}))",
-    "transfer_in": (
-        f"({_concept('started')}) AND ({_visit('registration')}) AND {_GIVEN_START} IS NOT NULL", _GIVEN_START,
-    ),
+    "regimen": (_concept("regimen"), "value_text"),
+    "side_effects": _concept("side_effect"),
+    "missed": (_concept("missed"), "value_numeric"),
+    "tb_status": (_concept("tb_status"), "value_coded"),
+    "not_on_art": f"(({_concept('taken')}) AND {_SAID_NO}) OR (({_concept('last_taken')}) AND {_TREATMENT_LAPSED})",
+    "transfer_in": (f"({_concept('started')}) AND {_GIVEN_START} IS NOT NULL", _GIVEN_START),
+}
+# Visits at which each of them counts.
+VISITS_OF: Mapping[str, str] = {
+    "regimen": _visit("dispensing"),
+    "side_effects": _visit("consultation"),
+    "missed": _visit("adherence", "consultation"),
+    "tb_status": _visit("consultation"),
+    "not_on_art": _visit("registration"),
+    "transfer_in": _visit("registration"),
 }
 
 
@@ -241,20 +247,38 @@ class ClinicalEvents:
         return self._event(rows, OBSERVATION_RULES)
 
     def visit_observations(self, obs: DataFrame | None = None) -> DataFrame:
-        """Rules that need the type of the visit. Only their concepts and visits meet in the join."""
+        """Rules that need the type of the visit.
+
+        The type is the same for all rows of a visit, so the rows are combined
+        per patient, quarter and visit first; a visit with very many rows does
+        not reach the join as such.
+        """
         obs = self.tables["obs"] if obs is None else obs
-        visits = self.tables["encounter"].select("encounter_id", "encounter_type")
-        visits = visits.join(self._visit_types, "encounter_type").select("encounter_id", "visit_roles")
-        rows = obs.selectExpr(
+        rows = obs.filter("encounter_id IS NOT NULL").selectExpr(
             "person_id AS patient_id", "obs_datetime AS at", "obs_id AS id", *self.ordering.ranking(),
             "encounter_id", "concept_id", "value_coded", "value_datetime", "value_numeric", "value_text",
         )
-        rows = (
-            rows.join(self._questions.filter(_concept(*VISIT_GATED)), "concept_id")
-            .join(self._answers, "value_coded", "left")
-            .join(visits, "encounter_id")
+        rows = rows.join(self._questions.filter(_concept(*VISIT_GATED)), "concept_id").join(
+            self._answers, "value_coded", "left"
+        )
+        per_visit = (
+            rows.selectExpr(
+                "patient_id", "trunc(to_date(at), 'quarter') AS quarter_start", "encounter_id",
+                *[self.ordering.slot(name, rule) for name, rule in VISIT_RULES.items()],
+            )
+            .groupBy("patient_id", "quarter_start", "encounter_id")
+            .agg(*[F.max(name).alias(name) for name in VISIT_RULES])
+        )
+        visits = self.tables["encounter"].select("encounter_id", "encounter_type")
+        visits = visits.join(self._visit_types, "encounter_type").select("encounter_id", "visit_roles")
+        return per_visit.join(visits, "encounter_id").selectExpr(
+            "patient_id", "quarter_start",
+            *[
+                f"CASE WHEN {VISITS_OF[name]} THEN {name} END AS {name}" if name in VISIT_RULES
+                else self.ordering.slot(name, None)
+                for name in SLOTS
+            ],
         )
-        return self._event(rows, VISIT_RULES)
 
     def states(self, patient_state: DataFrame | None = None) -> DataFrame:
         states = self.tables["patient_state"] if patient_state is None else patient_state

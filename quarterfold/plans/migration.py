@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from quarterfold.functions import ci, row_uuid
 from quarterfold.operators import rules
 from quarterfold.operators.lookups import (
-    Dictionary, checked_broadcast, concept_id_by_name, daily_dose, fixed_table, remap_by_name,
+    Dictionary, checked_broadcast, concept_id_by_name, daily_dose, remap_by_name,
 )
 from quarterfold.operators.mapping import KeyMaps, MappingSpec, apply_mapping, recode, remap_actor, remap_columns
 from quarterfold.operators.rows import any_per, latest_per, not_processed, semi, sequential_ids

@@ -7,7 +7,6 @@ batch, streaming and compaction all call the same function.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F

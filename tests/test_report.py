@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from quarterfold.plans import readmodel, report
+from quarterfold.plans import report
 from quarterfold.plans.indicators import INDICATORS
 from quarterfold.plans.layout import LINES, cells
 from tests.tiny import frame
@@ -52,6 +52,17 @@ def test_registry_is_complete():
     assert sorted(c[0] for c in cells()) == sorted(INDICATORS) and len(LINES) == 57
 
 
+def test_calendar_of_quarters(spark):
+    got = [(str(r.start_date), str(r.end_date)) for r in report.calendar(spark, 1999, 2000).orderBy("quarter_no").collect()]
+    assert len(got) == 8 and got[0] == ("1999-01-01", "1999-03-31") and got[-1] == ("2000-10-01", "2000-12-31")
+
+
+def test_header(spark):
+    properties = spark.createDataFrame([("current_health_center_name", " area  25 HEALTH centre")], "property string, property_value string")
+    got = report.report_header(spark, properties, START, END).first()
+    assert (got.site, got.period) == ("Area 25 Health Centre", "2000 - 4th Quarter")
+
+
 def test_unknown_figure_is_an_error(spark):
     with pytest.raises(KeyError):
         report.indicator("nonesuch", None, None, START, END)
