@@ -58,6 +58,7 @@ def main() -> None:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("bench")
         .config("spark.sql.shuffle.partitions", cpus).config("spark.ui.enabled", "false")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")  # larger methods are not compiled to machine code
         .config("spark.driver.memory", "12g").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -133,7 +133,7 @@ def report(start: str, end: str, cells) -> str:
         table, condition = FIGURES[name]
         where = _bounded(condition, f"DATE '{start}'", f"DATE '{end}'")
         parts.append(
-            f"SELECT {position} AS position, CAST({'NULL' if line is None else line} AS INT) AS line, "
+            f"SELECT CAST({position} AS BIGINT) AS position, CAST({'NULL' if line is None else line} AS BIGINT) AS line, "
             f"'{label}' AS label, '{which}' AS figure, '{name}' AS indicator, "
             f"(SELECT count(DISTINCT patient_id) FROM {table} WHERE {where}) AS value"
         )

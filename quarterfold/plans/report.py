@@ -79,9 +79,10 @@ def counts(report: DataFrame, details: DataFrame, start, end) -> DataFrame:
 
 def cohort_report(spark: SparkSession, report: DataFrame, details: DataFrame, start, end) -> DataFrame:
     """Every figure with its place on the printed report, in report order."""
-    values = counts(report, details, start, end).unpivot([], list(INDICATORS), "indicator", "value")
+    figures = ", ".join(f"named_struct('indicator', '{name}', 'value', {name})" for name in INDICATORS)
+    values = counts(report, details, start, end).selectExpr(f"inline(array({figures}))")
     places = fixed_table(
-        spark, cells(), "indicator string, position int, line int, label string, figure string"
+        spark, cells(), "indicator string, position bigint, line bigint, label string, figure string"
     )
     return (
         values.join(places, "indicator")
