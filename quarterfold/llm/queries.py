@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from quarterfold.llm import op2_shard, op3_substrings, op4_mix, op6_exact
+from quarterfold.llm import op2_shard, op3_substrings, op4_mix, op6_exact, op9_decontaminate
 
 QUERIES = {
     "op2_shard": op2_shard.op2_shard,
     "op3_substring_dedup": op3_substrings.op3_substring_dedup,
     "op4_mix": op4_mix.op4_mix,
     "op6_exact_dedup": op6_exact.op6_exact_dedup,
+    "op9_decontaminate": op9_decontaminate.op9_decontaminate,
 }
 
 SQL = {
     "op4_mix": op4_mix.SQL,
     "op6_exact_dedup": op6_exact.SQL,
+    "op9_decontaminate": op9_decontaminate.SQL,
 }
