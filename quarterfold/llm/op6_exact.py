@@ -34,7 +34,7 @@ def merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = None
     for batch in batches:
         run = pa.Table.from_batches([batch])
-        run = pa.concat_tables([held, run]).combine_chunks() if held is not None else run
+        run = pa.concat_tables([held, run.cast(held.schema)]).combine_chunks() if held is not None else run
         if not run.num_rows:
             continue
         new = np.zeros(run.num_rows, dtype=bool)
@@ -44,7 +44,8 @@ def merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             new[1:] |= pc.not_equal(values.slice(1), values.slice(0, len(values) - 1)).to_numpy(zero_copy_only=False)
         starts = np.flatnonzero(new)
         totals = np.add.reduceat(run["n"].to_numpy(), starts)
-        merged = run.take(pa.array(starts)).set_column(run.schema.get_field_index("n"), "n", pa.array(totals))
+        at = run.schema.get_field_index("n")
+        merged = run.take(pa.array(starts)).set_column(at, run.schema.field(at), pa.array(totals))
         held = merged.slice(merged.num_rows - 1)
         yield from merged.slice(0, merged.num_rows - 1).to_batches()
     if held is not None:
