@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarterfold.llm import op2_shard, op3_substrings, op4_mix, op6_exact, op9_decontaminate
+from quarterfold.llm import op2_shard, op3_substrings, op4_mix, op6_exact, op9_decontaminate, op10_pii
 
 QUERIES = {
     "op2_shard": op2_shard.op2_shard,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_mix": op4_mix.op4_mix,
     "op6_exact_dedup": op6_exact.op6_exact_dedup,
     "op9_decontaminate": op9_decontaminate.op9_decontaminate,
+    "op10_pii": op10_pii.op10_pii,
 }
 
 SQL = {
