@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from quarterfold.llm import op2_shard, op3_substrings, op4_mix, op6_exact, op9_decontaminate, op10_pii
+from quarterfold.llm import (
+    op1_quality, op2_shard, op3_substrings, op4_mix, op5_toxicity, op6_exact, op9_decontaminate, op10_pii,
+)
 
 QUERIES = {
+    "op1_quality": op1_quality.op1_quality,
     "op2_shard": op2_shard.op2_shard,
     "op3_substring_dedup": op3_substrings.op3_substring_dedup,
     "op4_mix": op4_mix.op4_mix,
+    "op5_toxicity": op5_toxicity.op5_toxicity,
     "op6_exact_dedup": op6_exact.op6_exact_dedup,
     "op9_decontaminate": op9_decontaminate.op9_decontaminate,
     "op10_pii": op10_pii.op10_pii,
