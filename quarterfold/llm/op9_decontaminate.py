@@ -58,14 +58,8 @@ def _windows(starts: Column, words: Column) -> Column:
         s.a.alias("a"), s.n.alias("n"), F.array_join(F.slice(words, s.a + 1, s.n), " ").alias("window")))
 
 
-def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of ``docs``. items: item_id, text.
-
-    Words are runs of letters and digits, A-Z in lower case, with every character beyond ASCII a
-    letter. Hit is each word inside any occurrence of a window of 10 consecutive words of an item;
-    an item of fewer, but not none, is one window. Null and empty texts have no words; an item without an id counts
-    under the empty id. Equal texts are looked at once and get equal results; other columns are not looked at.
-    """
+def _hits(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """key, second, n_hit, n_items, items_sha256 of each text that holds a window of an item."""
     n_words = F.size("words")
     known = written(
         _with_words(items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text"))
@@ -85,7 +79,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
         known.select("item_id", F.explode_outer(_windows(starts, F.col("words"))).alias("w"))
         .groupBy(F.col("w.window").alias("window")).agg(F.collect_set("item_id").alias("ids")), "windows")
 
-    texts = docs.select("doc_id", "text", F.xxhash64(text_of("text")).alias("key"))
+    texts = docs.select("text", F.xxhash64(text_of("text")).alias("key"))
     # With a table of prints small enough Spark broadcasts it; otherwise prints are shuffled.
     seen = _prints(_with_words(texts), short).select("key", F.explode_outer("prints").alias("p")).select("key", "p.h", "p.pos", "p.n")
     near = written(
@@ -108,18 +102,36 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
         lambda acc: acc["n"])
     per_text = hit.groupBy("key", "second").agg(
         F.collect_set(F.struct("a", "n")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("ids")))).alias("ids"))
-    results = per_text.select("key", "second", union.alias("n_hit"), F.size("ids").cast("long").alias("n_items"),
-                              F.sha2(F.array_join("ids", ","), 256).alias("items_sha256"))
-    counted = texts.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "key", F.xxhash64(text_of("text"), F.lit(1)).alias("second"),
+    return written(per_text.select(
+        "key", "second", union.alias("n_hit"), F.size("ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("ids", ","), 256).alias("items_sha256")), "hits")
+
+
+def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of ``docs``. items: item_id, text.
+
+    Words are runs of letters and digits, A-Z in lower case, with every character beyond ASCII a
+    letter. Hit is each word inside any occurrence of a window of 10 consecutive words of an item;
+    an item of fewer, but not none, is one window. Null and empty texts have no words; an item without an id counts
+    under the empty id. Equal texts are looked at once and get equal results; other columns are not looked at.
+    """
+    counted = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of("text")).alias("key"), F.xxhash64(text_of("text"), F.lit(1)).alias("second"),
         F.regexp_count(ascii_lower(text_of("text")), F.lit(WORD)).cast("long").alias("n_words"))
     none = F.lit(0).cast("long")
-    return counted.join(written(results, "hits"), ["key", "second"], "left").select(
+    return counted.join(_hits(docs, items), ["key", "second"], "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", none).alias("n_hit"), F.coalesce("n_items", none).alias("n_items"),
         F.coalesce("items_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("items_sha256"),
         (F.coalesce("n_hit", none) > 0).alias("contaminated"))
 
 
+def uncontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no window of an item."""
+    hits = _hits(docs, items).select(F.col("key").alias("_key"), F.col("second").alias("_second"))
+    same = (F.xxhash64(text_of("text")) == F.col("_key")) & (F.xxhash64(text_of("text"), F.lit(1)) == F.col("_second"))
+    return docs.join(hits, same, "left_anti")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 

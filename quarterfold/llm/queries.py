@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from quarterfold.llm import (
-    op1_quality, op2_shard, op3_substrings, op4_mix, op5_toxicity, op6_exact, op7_jaccard, op9_decontaminate, op10_pii,
+    op1_quality, op2_shard, op3_substrings, op4_mix, op5_toxicity, op6_exact, op7_jaccard, op8_html, op9_decontaminate,
+    op10_pii,
 )
 
 QUERIES = {
@@ -14,6 +15,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity.op5_toxicity,
     "op6_exact_dedup": op6_exact.op6_exact_dedup,
     "op7_jaccard": op7_jaccard.op7_jaccard,
+    "op8_html": op8_html.op8_html,
     "op9_decontaminate": op9_decontaminate.op9_decontaminate,
     "op10_pii": op10_pii.op10_pii,
 }
