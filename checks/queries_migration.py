@@ -110,6 +110,14 @@ STEPS: dict[str, Callable[[Run], DataFrame]] = {
     "mig_drug_orders": lambda r: m.drug_orders(r.src, r.maps),
     "mig_export_obs": lambda r: m.export_table("obs", r.src, r.dst, r.maps),
     "mig_export_identifiers": lambda r: m.export_table("patient_identifier", r.src, r.dst, r.maps),
+    **{
+        f"mig_export_{name}": lambda r, table=table: m.export_table(table, r.src, r.dst, r.maps)
+        for name, table in (
+            ("person", "person"), ("patient", "patient"), ("encounters", "encounter"), ("programs", "patient_program"),
+            ("orders", "orders"), ("drug_orders", "drug_order"),
+        )
+    },
+    "mig_export_states_from_orders": lambda r: m.export_table("patient_state_orders", r.src, r.dst, r.maps),
     "mig_export_states": lambda r: m.export_table("patient_state", r.src, r.dst, r.maps),
     "mig_slice": lambda r: page_patients(r.src["patient"], 70, 60, newest_first=True).select("patient_id"),
     "quarantine": _quarantine,

@@ -30,6 +30,11 @@ def _target(name: str) -> str:
 _VOIDED = f"t.voided, {_user('t.voided_by')} AS voided_by, t.date_voided, t.void_reason"
 _CHANGED = f"{_user('t.changed_by')} AS changed_by, t.date_changed"
 _BY = f"{_user('t.creator')} AS creator, t.date_created"
+_OLD_VOIDED = f"t.voided, coalesce({_user('t.voided_by')}, t.voided_by) AS voided_by, t.date_voided, t.void_reason"
+_OLD_CHANGED = f"coalesce({_user('t.changed_by')}, t.changed_by) AS changed_by, t.date_changed"
+_OLD_BY = f"coalesce({_user('t.creator')}, t.creator) AS creator, t.date_created"
+_NTH = "row_number() OVER (PARTITION BY t.patient_id, t.identifier_type, t.identifier ORDER BY t.date_created, t.creator, t.location_id)"
+_IDENTIFIER_KEY = ("t.patient_id", "t.identifier_type", "t.identifier", _NTH)
 
 _DRUG_VALUES = ", ".join(f"({old}, {new})" for old, _, _, new in DRUG_MAP)
 PERSONS = ("persons", """
@@ -40,7 +45,7 @@ PROGRAM = ("last_program", """
       (PARTITION BY patient_id ORDER BY date_created DESC, patient_program_id DESC) AS n FROM fx_src_patient_program) WHERE n = 1""")
 STATES = ("states", """
     SELECT w.program_workflow_state_id AS state, w.concept_id,
-      (SELECT lower(n.name) FROM fx_concept_name n WHERE n.concept_id = w.concept_id ORDER BY concept_name_id LIMIT 1) AS name
+      w.concept_id IN (SELECT n.concept_id FROM fx_concept_name n WHERE lower(rtrim(n.name)) = 'on antiretrovirals') AS starts
     FROM fx_program_workflow_state w JOIN fx_program_workflow f USING (program_workflow_id)
     JOIN fx_program g ON g.program_id = f.program_id
     WHERE g.concept_id IN (SELECT concept_id FROM fx_concept_name WHERE lower(name) = 'hiv program')""")
@@ -57,12 +62,15 @@ _TURNED = (
     f"(t.concept_id IN (SELECT old_concept_id FROM fx_concept_map WHERE lower(old_concept_name) IN ({_SYMPTOMS})) "
     f"AND coalesce(t.value_coded IN (SELECT old_concept_id FROM fx_concept_map WHERE lower(old_concept_name) IN ({_YES})), FALSE))"
 )
+_OBS_BEFORE = """t.encounter_id, t.order_id, t.obs_datetime, t.location_id, t.obs_group_id, t.accession_number, t.value_group_id,
+      t.value_boolean"""
+_OBS_AFTER = """t.value_drug, t.value_datetime, t.value_numeric, t.value_modifier, t.value_text, t.date_started, t.date_stopped, t.comments"""
 OBS = ("mapped_obs", f"""
     SELECT t.obs_id, t.patient_id AS person_id,
       CASE WHEN {_TURNED} THEN {_target('drug induced')} ELSE {_concept('t.concept_id')} END AS concept_id,
-      t.encounter_id, t.order_id, t.obs_datetime, t.location_id,
+      {_OBS_BEFORE},
       CASE WHEN {_TURNED} THEN t.concept_id ELSE {_concept('t.value_coded')} END AS value_coded,
-      t.value_datetime, t.value_numeric, t.value_text, {_BY}, t.voided, {_user('t.voided_by')} AS voided_by, {_uuid('obs', 't.obs_id')}
+      {_OBS_AFTER}, {_BY}, {_VOIDED}, {_uuid('obs', 't.obs_id')}
     FROM fx_src_obs t""")
 DOSED = ("dosed", """
     SELECT d.*, x.daily_consumption FROM fx_src_drug_order d JOIN fx_src_orders o USING (order_id)
@@ -101,7 +109,7 @@ def _typed(dim: str, key: str) -> str:
 
 _STATUS = f"""FROM mapped_obs o LEFT JOIN states s ON s.concept_id = o.value_coded LEFT JOIN last_program l ON l.patient_id = o.person_id
     WHERE o.concept_id = {_target('antiretroviral treatment status')} AND o.obs_id NOT IN (SELECT obs_id FROM fx_obs_edit_audit)"""
-_STARTED = "(SELECT min(state) FROM states WHERE name = 'on antiretrovirals')"
+_STARTED = "(SELECT min(state) FROM states WHERE starts)"
 _DAYS = "CAST(round(d.quantity / nullif(coalesce(d.daily_consumption, 1), 0)) AS INT)"
 
 # name -> (fixture tables, named queries, select)
@@ -133,17 +141,17 @@ _STEPS: dict[str, tuple[list[str], list, str]] = {
     "mig_names": (["src_users", "src_patient", "src_patient_name"], [PERSONS, USER_MAP], f"""
         SELECT t.patient_id AS person_id, t.preferred, t.prefix, t.given_name, t.middle_name, t.family_name_prefix, t.family_name,
           t.family_name2, t.family_name_suffix, t.degree, {_BY}, {_VOIDED}, {_CHANGED},
-          {_uuid('person_name', 't.patient_id', 't.given_name', 't.family_name')} FROM fx_src_patient_name t"""),
+          {_uuid('person_name', 't.patient_name_id')} FROM fx_src_patient_name t"""),
     "mig_identifiers": (
         ["src_users", "src_patient", "src_patient_identifier", "src_identifier_type", "dst_identifier_type"], [PERSONS, USER_MAP], f"""
         SELECT t.patient_id, t.identifier, {_typed('dst_identifier_type', 'patient_identifier_type_id')} AS identifier_type, t.preferred,
-          t.location_id, {_BY}, {_VOIDED}, {_uuid('patient_identifier', 't.patient_id', 't.identifier')}
+          t.location_id, {_BY}, {_VOIDED}, {_uuid('patient_identifier', *_IDENTIFIER_KEY)}
         FROM fx_src_patient_identifier t JOIN fx_src_identifier_type y ON y.patient_identifier_type_id = t.identifier_type
         WHERE lower(y.name) NOT IN {_CONTACTS}"""),
     "mig_attributes": (
         ["src_users", "src_patient", "src_patient_identifier", "src_identifier_type", "dst_attribute_type"], [PERSONS, USER_MAP], f"""
         SELECT t.patient_id AS person_id, t.identifier AS value, {_typed('dst_attribute_type', 'person_attribute_type_id')} AS person_attribute_type_id,
-          {_BY}, {_VOIDED}, {_uuid('person_attribute', 't.patient_id', 't.identifier')}
+          {_BY}, {_VOIDED}, {_uuid('person_attribute', *_IDENTIFIER_KEY)}
         FROM fx_src_patient_identifier t JOIN fx_src_identifier_type y ON y.patient_identifier_type_id = t.identifier_type
         WHERE lower(y.name) IN {_CONTACTS}"""),
     "mig_programs": (["src_users", "src_patient", "src_patient_program"], [PERSONS, USER_MAP], f"""
@@ -169,9 +177,8 @@ _STEPS: dict[str, tuple[list[str], list, str]] = {
         _encounters(_VISIT_AS_WRITTEN)),
     "mig_obs": (["src_users", "src_patient", "src_obs", "concept_map", "concept_name"], [PERSONS, USER_MAP, OBS], "SELECT * FROM mapped_obs"),
     "mig_obs_uninverted": (["src_users", "src_patient", "src_obs", "concept_map"], [PERSONS, USER_MAP], f"""
-        SELECT t.obs_id, t.patient_id AS person_id, {_concept('t.concept_id')} AS concept_id, t.encounter_id, t.order_id, t.obs_datetime,
-          t.location_id, {_concept('t.value_coded')} AS value_coded, t.value_datetime, t.value_numeric, t.value_text, {_BY}, t.voided,
-          {_user('t.voided_by')} AS voided_by, {_uuid('obs', 't.obs_id')} FROM fx_src_obs t"""),
+        SELECT t.obs_id, t.patient_id AS person_id, {_concept('t.concept_id')} AS concept_id, {_OBS_BEFORE},
+          {_concept('t.value_coded')} AS value_coded, {_OBS_AFTER}, {_BY}, {_VOIDED}, {_uuid('obs', 't.obs_id')} FROM fx_src_obs t"""),
     "mig_unmapped_concepts": (["src_users", "src_patient", "src_obs", "concept_map", "concept_name"], [PERSONS, USER_MAP, OBS], """
         SELECT CASE WHEN concept_id IS NULL THEN 'not in the map' WHEN concept_id = 0 THEN 'no target' ELSE 'mapped' END AS outcome,
           count(*) AS observations FROM mapped_obs GROUP BY 1"""),
@@ -208,7 +215,8 @@ _STEPS: dict[str, tuple[list[str], list, str]] = {
         SELECT t.order_id, t.order_type_id, t.concept_id, {_user('t.orderer')} AS orderer, t.encounter_id, t.instructions,
           coalesce(t.start_date, t.date_created) AS start_date,
           coalesce(t.auto_expire_date, coalesce(t.start_date, t.date_created) + to_days({_DAYS})) AS auto_expire_date,
-          t.discontinued, {_BY}, t.voided, {_user('t.voided_by')} AS voided_by, e.patient_id, {_uuid('orders', 't.order_id')}
+          t.discontinued, t.discontinued_date, {_user('t.discontinued_by')} AS discontinued_by, t.discontinued_reason, {_BY},
+          {_VOIDED}, e.patient_id, {_uuid('orders', 't.order_id')}
         FROM fx_src_orders t JOIN fx_src_encounter e USING (encounter_id) LEFT JOIN dosed d ON d.order_id = t.order_id"""),
     "mig_drug_orders": (
         ["src_orders", "src_encounter", "src_drug_order", "src_prescription_totals"],
@@ -216,13 +224,41 @@ _STEPS: dict[str, tuple[list[str], list, str]] = {
         SELECT d.order_id, CAST((SELECT min(new) FROM drug_map m WHERE m.old = d.drug_inventory_id) AS BIGINT) AS drug_inventory_id, d.dose,
           d.daily_consumption AS equivalent_daily_dose, d.units, d.frequency, d.prn, d.complex, d.quantity FROM dosed d"""),
     "mig_export_obs": (["src_users", "src_patient", "src_obs", "concept_map"], [PERSONS, USER_MAP], f"""
-        SELECT t.obs_id, t.patient_id AS person_id, coalesce({_concept('t.concept_id')}, t.concept_id) AS concept_id, t.encounter_id,
-          t.order_id, t.obs_datetime, t.location_id, coalesce({_concept('t.value_coded')}, t.value_coded) AS value_coded,
-          t.value_datetime, t.value_numeric, t.value_text, coalesce({_user('t.creator')}, t.creator) AS creator, t.date_created, t.voided,
-          coalesce({_user('t.voided_by')}, t.voided_by) AS voided_by, {_uuid('obs', 't.obs_id')} FROM fx_src_obs t"""),
+        SELECT t.obs_id, t.patient_id AS person_id, coalesce({_concept('t.concept_id')}, t.concept_id) AS concept_id, {_OBS_BEFORE},
+          coalesce({_concept('t.value_coded')}, t.value_coded) AS value_coded, {_OBS_AFTER}, {_OLD_BY}, {_OLD_VOIDED},
+          {_uuid('obs', 't.obs_id')} FROM fx_src_obs t"""),
+    "mig_export_person": (["src_users", "src_patient"], [PERSONS, USER_MAP], f"""
+        SELECT t.patient_id AS person_id, t.gender, t.birthdate, t.birthdate_estimated, t.dead, t.death_date, t.cause_of_death,
+          {_OLD_BY}, {_OLD_CHANGED}, {_OLD_VOIDED}, {_uuid('person', 't.patient_id')} FROM fx_src_patient t"""),
+    "mig_export_patient": (["src_users", "src_patient"], [PERSONS, USER_MAP], f"""
+        SELECT t.patient_id, t.tribe, {_OLD_BY}, {_OLD_CHANGED}, {_OLD_VOIDED}, {_uuid('patient', 't.patient_id')} FROM fx_src_patient t"""),
+    "mig_export_programs": (["src_users", "src_patient", "src_patient_program"], [PERSONS, USER_MAP], f"""
+        SELECT t.patient_program_id, t.patient_id, t.program_id, t.date_enrolled, t.date_completed, {_OLD_BY}, {_OLD_CHANGED},
+          {_OLD_VOIDED}, CAST(NULL AS BIGINT) AS location_id, {_uuid('patient_program', 't.patient_program_id')}
+        FROM fx_src_patient_program t"""),
+    "mig_export_encounters": (
+        ["src_users", "src_patient", "src_encounter", "src_encounter_type", "dst_encounter_type"], [PERSONS, USER_MAP], f"""
+        SELECT t.encounter_id, coalesce((SELECT min(v.encounter_type_id) FROM fx_dst_encounter_type v WHERE v.name = {_VISIT}),
+            t.encounter_type) AS encounter_type, t.patient_id, t.provider_id, t.location_id, t.form_id, t.encounter_datetime,
+          {_OLD_BY}, {_OLD_VOIDED}, {_OLD_CHANGED}, {_uuid('encounter', 't.encounter_id')}
+        FROM fx_src_encounter t JOIN fx_src_encounter_type y ON y.encounter_type_id = t.encounter_type"""),
+    "mig_export_orders": (["src_users", "src_patient", "src_orders", "concept_map"], [PERSONS, USER_MAP], f"""
+        SELECT t.order_id, t.order_type_id, coalesce({_concept('t.concept_id')}, t.concept_id) AS concept_id, t.orderer, t.encounter_id,
+          t.instructions, t.start_date, t.auto_expire_date, t.discontinued, t.discontinued_date, t.discontinued_by,
+          t.discontinued_reason, {_OLD_BY}, {_OLD_VOIDED}, {_uuid('orders', 't.order_id')} FROM fx_src_orders t"""),
+    "mig_export_drug_orders": (["src_drug_order"], [], f"""
+        SELECT t.order_id, t.drug_inventory_id, t.dose, t.units, t.frequency, t.prn, t.complex, t.quantity,
+          {_uuid('drug_order', 't.order_id')} FROM fx_src_drug_order t"""),
+    "mig_export_states_from_orders": (
+        ["src_users", "src_patient", "src_patient_program", "src_orders", "src_encounter", "src_drug_order", "src_drug", "concept_name",
+         "program", "program_workflow", "program_workflow_state"], [PERSONS, USER_MAP, PROGRAM, STATES], f"""
+        SELECT l.patient_program_id, {_STARTED} AS state, CAST(t.date_created AS DATE) AS start_date, {_OLD_BY}
+        FROM fx_src_orders t JOIN fx_src_encounter e USING (encounter_id) LEFT JOIN last_program l ON l.patient_id = e.patient_id
+        WHERE t.order_id IN (SELECT order_id FROM fx_src_drug_order WHERE drug_inventory_id IN
+          (SELECT drug_id FROM fx_src_drug WHERE concept_id IN (450, 451, 452, 458, 826, 827, 828, 829, 453)))"""),
     "mig_export_identifiers": (["src_users", "src_patient", "src_patient_identifier"], [PERSONS, USER_MAP], f"""
         SELECT t.patient_id, t.identifier, t.identifier_type, t.preferred, t.location_id, coalesce({_user('t.creator')}, t.creator) AS creator,
-          t.date_created, t.voided, t.voided_by, t.date_voided, t.void_reason, {_uuid('patient_identifier', 't.patient_id', 't.identifier')}
+          t.date_created, {_OLD_VOIDED}, {_uuid('patient_identifier', *_IDENTIFIER_KEY)}
         FROM fx_src_patient_identifier t WHERE t.identifier_type NOT IN (2, 3, 5, 6, 8, 9, 11, 12)"""),
     "mig_export_states": (
         ["src_users", "src_patient", "src_obs", "concept_map", "concept_name", "src_patient_program", "program", "program_workflow",

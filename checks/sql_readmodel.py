@@ -77,6 +77,7 @@ _OBS_FACTS = [
 _STATES = """
     SELECT pp.patient_id AS pid, CAST(s.start_date AS TIMESTAMP) AS tm, s.patient_state_id AS id,
       (SELECT name FROM fx_concept_name c WHERE c.concept_id = w.concept_id ORDER BY concept_name_id LIMIT 1) AS nm,
+      w.concept_id IN """ + _ids("On antiretrovirals") + """ AS starts, w.concept_id IN """ + _ids("Treatment stopped") + """ AS stops,
       pw.program_id IN (SELECT program_id FROM fx_program WHERE concept_id IN """ + _ids("HIV PROGRAM") + """) AS hiv
     FROM fx_patient_state s JOIN fx_patient_program pp USING (patient_program_id)
     LEFT JOIN fx_program_workflow_state w ON w.program_workflow_state_id = s.state
@@ -97,8 +98,8 @@ def _facts() -> str:
     ]
     parts += [
         "SELECT 'state', pid, tm, id, nm FROM state_seen",
-        "SELECT 'stop', pid, tm, id, NULL FROM state_seen WHERE hiv AND lower(nm) = 'treatment stopped'",
-        "SELECT 'start', pid, tm, id, NULL FROM state_seen WHERE hiv AND lower(nm) = 'on antiretrovirals'",
+        "SELECT 'stop', pid, tm, id, NULL FROM state_seen WHERE hiv AND stops",
+        "SELECT 'start', pid, tm, id, NULL FROM state_seen WHERE hiv AND starts",
         "SELECT 'expiry', pid, tm, id, CAST(expires AS VARCHAR) FROM drug_seen",
         "SELECT 'death', person_id, date_created, person_id, CAST(death_date AS VARCHAR) FROM fx_person WHERE dead = 1",
     ]

@@ -172,14 +172,24 @@ SOURCE_SIDE: dict[str, str] = {
           CAST(NULL AS BIGINT) AS voided_by, CAST(NULL AS {{ts}}) AS date_voided, CAST(NULL AS VARCHAR(9)) AS void_reason
         FROM {{raw_customer}} WHERE c_custkey % 8 <> 1""",
     "src_patient_name": f"""
-        SELECT c_custkey AS patient_id, 1 AS preferred, CAST(NULL AS VARCHAR(9)) AS prefix, c_name AS given_name,
+        SELECT c_custkey + 7000000 AS patient_name_id, c_custkey AS patient_id, 1 AS preferred, CAST(NULL AS VARCHAR(9)) AS prefix,
+          c_name AS given_name,
           CASE WHEN c_custkey % 3 = 0 THEN 'J' END AS middle_name, CAST(NULL AS VARCHAR(9)) AS family_name_prefix,
           c_mktsegment AS family_name, CAST(NULL AS VARCHAR(9)) AS family_name2,
           CAST(NULL AS VARCHAR(9)) AS family_name_suffix, CAST(NULL AS VARCHAR(9)) AS degree,
           CAST(c_nationkey + 1 AS BIGINT) AS creator, {_DAY} AS date_created, 0 AS voided,
           CAST(NULL AS BIGINT) AS voided_by, CAST(NULL AS {{ts}}) AS date_voided, CAST(NULL AS VARCHAR(9)) AS void_reason,
           CAST(CASE WHEN c_custkey % 5 = 0 THEN 900 END AS BIGINT) AS changed_by, CAST(NULL AS {{ts}}) AS date_changed
-        FROM {{raw_customer}}""",
+        FROM {{raw_customer}}
+        UNION ALL
+        SELECT c_custkey + 8000000 AS patient_name_id, c_custkey AS patient_id, 0 AS preferred, CAST(NULL AS VARCHAR(9)) AS prefix,
+          c_name AS given_name, 'second' AS middle_name, CAST(NULL AS VARCHAR(9)) AS family_name_prefix,
+          c_mktsegment AS family_name, CAST(NULL AS VARCHAR(9)) AS family_name2,
+          CAST(NULL AS VARCHAR(9)) AS family_name_suffix, CAST(NULL AS VARCHAR(9)) AS degree,
+          CAST(c_nationkey + 1 AS BIGINT) AS creator, {_DAY} AS date_created, 1 AS voided,
+          CAST(2 AS BIGINT) AS voided_by, {_DAY} AS date_voided, 'duplicate' AS void_reason,
+          CAST(NULL AS BIGINT) AS changed_by, CAST(NULL AS {{ts}}) AS date_changed
+        FROM {{raw_customer}} WHERE c_custkey % 6 = 0""",
     "src_patient_identifier": f"""
         SELECT c_custkey AS patient_id, concat('I', CAST(c_custkey AS VARCHAR(12))) AS identifier,
           CAST(c_custkey % 12 + 1 AS BIGINT) AS identifier_type, 0 AS preferred, CAST(c_nationkey AS BIGINT) AS location_id,
@@ -191,7 +201,13 @@ SOURCE_SIDE: dict[str, str] = {
           CAST(1 AS BIGINT) AS identifier_type, 1 AS preferred, CAST(c_nationkey AS BIGINT) AS location_id,
           CAST(900 AS BIGINT) AS creator, {_DAY} AS date_created, 0 AS voided,
           CAST(NULL AS BIGINT) AS voided_by, CAST(NULL AS {{ts}}) AS date_voided, CAST(NULL AS VARCHAR(9)) AS void_reason
-        FROM {{raw_customer}} WHERE c_custkey % 2 = 0""",
+        FROM {{raw_customer}} WHERE c_custkey % 2 = 0
+        UNION ALL
+        SELECT c_custkey AS patient_id, concat('T', CAST(c_custkey AS VARCHAR(12))) AS identifier, t AS identifier_type,
+          0 AS preferred, CAST(c_nationkey AS BIGINT) AS location_id, CAST(c_nationkey + 1 AS BIGINT) AS creator, {_DAY} AS date_created,
+          0 AS voided, CAST(NULL AS BIGINT) AS voided_by, CAST(NULL AS {{ts}}) AS date_voided, CAST(NULL AS VARCHAR(9)) AS void_reason
+        FROM {{raw_customer}} CROSS JOIN (SELECT * FROM (VALUES (CAST(3 AS BIGINT)), (CAST(8 AS BIGINT))) AS v(t)) two
+        WHERE c_custkey % 5 = 0""",
     "src_patient_program": f"""
         SELECT c_custkey AS patient_program_id, c_custkey AS patient_id, CAST(1 AS BIGINT) AS program_id,
           {_DAY} AS date_enrolled, CAST(NULL AS {{ts}}) AS date_completed, CAST(c_nationkey + 1 AS BIGINT) AS creator,
@@ -213,7 +229,12 @@ SOURCE_SIDE: dict[str, str] = {
           CAST(NULL AS BIGINT) AS form_id, o_orderdate AS encounter_datetime,
           CAST(o_orderkey % 26 + 1 AS BIGINT) AS creator,
           CAST(CAST(o_orderdate AS DATE) + 1 AS {{ts}}) AS date_created,
-          CASE WHEN o_orderkey % 31 = 0 THEN 1 ELSE 0 END AS voided
+          CASE WHEN o_orderkey % 31 = 0 THEN 1 ELSE 0 END AS voided,
+          CAST(CASE WHEN o_orderkey % 31 = 0 THEN o_orderkey % 30 + 1 END AS BIGINT) AS voided_by,
+          CASE WHEN o_orderkey % 31 = 0 THEN CAST(CAST(o_orderdate AS DATE) + 2 AS {{ts}}) END AS date_voided,
+          CASE WHEN o_orderkey % 31 = 0 THEN 'entered twice' END AS void_reason,
+          CAST(CASE WHEN o_orderkey % 4 = 0 THEN o_orderkey % 28 + 1 END AS BIGINT) AS changed_by,
+          CASE WHEN o_orderkey % 4 = 0 THEN CAST(CAST(o_orderdate AS DATE) + 4 AS {{ts}}) END AS date_changed
         FROM {{raw_orders}}""",
     "src_obs": f"""
         SELECT obs_id, person_id AS patient_id, CAST({_cases(_ASKED, "pk % 32")} AS BIGINT) AS concept_id,
@@ -229,7 +250,18 @@ SOURCE_SIDE: dict[str, str] = {
           CASE WHEN pk % 32 = 31 THEN 'note' END AS value_text,
           CAST(obs_id % 26 + 1 AS BIGINT) AS creator, dt AS date_created,
           CASE WHEN obs_id % 37 = 0 THEN 1 ELSE 0 END AS voided,
-          CAST(CASE WHEN obs_id % 37 = 0 THEN 5 END AS BIGINT) AS voided_by
+          CAST(CASE WHEN obs_id % 37 = 0 THEN 5 END AS BIGINT) AS voided_by,
+          CASE WHEN obs_id % 37 = 0 THEN CAST(CAST(dt AS DATE) + 9 AS {{ts}}) END AS date_voided,
+          CASE WHEN obs_id % 37 = 0 THEN 'mistaken' END AS void_reason,
+          CAST(CASE WHEN obs_id % 5 = 0 THEN obs_id - 1 END AS BIGINT) AS obs_group_id,
+          CASE WHEN obs_id % 6 = 0 THEN concat('A', CAST(obs_id AS VARCHAR(12))) END AS accession_number,
+          CAST(CASE WHEN obs_id % 7 = 0 THEN obs_id % 11 END AS BIGINT) AS value_group_id,
+          CASE WHEN obs_id % 3 = 0 THEN CAST(obs_id % 2 AS INT) END AS value_boolean,
+          CAST(CASE WHEN obs_id % 9 = 0 THEN pk END AS BIGINT) AS value_drug,
+          CASE WHEN obs_id % 8 = 0 THEN '<' WHEN obs_id % 8 = 1 THEN '>' END AS value_modifier,
+          CASE WHEN obs_id % 10 = 0 THEN dt END AS date_started,
+          CASE WHEN obs_id % 10 = 0 THEN CAST(CAST(dt AS DATE) + q AS {{ts}}) END AS date_stopped,
+          CASE WHEN obs_id % 12 = 0 THEN 'remark' END AS comments
         FROM {{visit_item}}""",
     "src_drug": f"""
         SELECT CAST(p_partkey AS BIGINT) AS drug_id, CAST({_cases(_DRUG_CONCEPTS, "p_partkey % 12")} AS BIGINT) AS concept_id,
@@ -240,9 +272,14 @@ SOURCE_SIDE: dict[str, str] = {
           CAST(order_id % 26 + 1 AS BIGINT) AS orderer, encounter_id, CAST(NULL AS VARCHAR(9)) AS instructions,
           CASE WHEN q % 5 = 0 THEN NULL ELSE dt END AS start_date,
           CASE WHEN q % 3 = 0 THEN CAST(CAST(dt AS DATE) + q AS {ts}) END AS auto_expire_date,
-          0 AS discontinued, CAST(order_id % 26 + 1 AS BIGINT) AS creator, dt AS date_created,
+          CASE WHEN order_id % 19 = 0 THEN 1 ELSE 0 END AS discontinued, CAST(order_id % 26 + 1 AS BIGINT) AS creator, dt AS date_created,
           CASE WHEN order_id % 53 = 0 THEN 1 ELSE 0 END AS voided,
-          CAST(CASE WHEN order_id % 53 = 0 THEN 4 END AS BIGINT) AS voided_by
+          CAST(CASE WHEN order_id % 53 = 0 THEN 4 END AS BIGINT) AS voided_by,
+          CASE WHEN order_id % 53 = 0 THEN CAST(CAST(dt AS DATE) + 3 AS {ts}) END AS date_voided,
+          CASE WHEN order_id % 53 = 0 THEN 'wrong drug' END AS void_reason,
+          CASE WHEN order_id % 19 = 0 THEN CAST(CAST(dt AS DATE) + 5 AS {ts}) END AS discontinued_date,
+          CAST(CASE WHEN order_id % 19 = 0 THEN order_id % 27 + 1 END AS BIGINT) AS discontinued_by,
+          CAST(CASE WHEN order_id % 19 = 0 THEN 407 END AS BIGINT) AS discontinued_reason
         FROM {drug_item}""",
     "src_drug_order": """
         SELECT order_id, pk AS drug_inventory_id, CAST(1 AS DOUBLE) AS dose,

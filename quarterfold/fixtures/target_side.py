@@ -92,6 +92,9 @@ _names += [
     for i, n in enumerate(REASON_TEXTS)
 ]
 
+# an earlier synonym of the programme: the name looked for isn't the first one
+_names += [(7882, "'Programme one'", 5)]
+
 TARGET_SIDE: dict[str, str] = {
     "concept_name": (
         "SELECT CAST(concept_id AS BIGINT) AS concept_id, name, "

@@ -1,8 +1,7 @@
 """Dictionary lookups and key maps.
 
-Lookup sides are small by nature but not by promise. ``checked_broadcast``
-counts up to a bound before it asks for a broadcast; a larger side is left to
-a shuffle join, which adaptive execution splits when a key is hot.
+Tables that names written in the code bound (roles, visit types, states by role) are broadcast. All others are
+left to Spark, which broadcasts what its statistics show to be small and splits hot keys of a shuffle join.
 """
 
 from __future__ import annotations
@@ -14,23 +13,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quarterfold.functions import ci
 
-BROADCAST_ROWS = 200_000
-
-
-def fits(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Is a table small? Reads no more than ``max_rows + 1`` rows to tell."""
-    return table.limit(max_rows + 1).count() <= max_rows
-
-
-def checked_broadcast(df: DataFrame, source: DataFrame | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Ask for a broadcast of ``df`` only when it was counted to fit the bound.
-
-    ``source`` is a table ``df`` has at most one row per row of; counting it is
-    cheaper than running the derivation.
-    """
-    return F.broadcast(df) if fits(df if source is None else source, max_rows) else df
-
-
 def fixed_table(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
     """A table of fixed values written in the code, small by construction."""
     return F.broadcast(spark.createDataFrame([tuple(r) for r in rows], schema))
@@ -71,32 +53,22 @@ class Dictionary:
     def __init__(self, tables):
         self._tables = tables
 
-    @cached_property
-    def _small(self) -> bool:
-        return fits(self._tables["concept_name"])
-
-    def hint(self, df: DataFrame) -> DataFrame:
-        """Broadcast of a table with at most one row per concept name, if there are few names."""
-        return F.broadcast(df) if self._small else df
-
     @cached_property
     def by_concept(self) -> DataFrame:
-        return self.hint(preferred_names(self._tables["concept_name"]))
+        return preferred_names(self._tables["concept_name"])
 
     @cached_property
     def by_name_id(self) -> DataFrame:
         names = self._tables["concept_name"]
-        return self.hint(names.groupBy("concept_name_id").agg(F.min("name").alias("name")))
+        return names.groupBy("concept_name_id").agg(F.min("name").alias("name"))
 
     def roles(self, wanted: Mapping[str, Sequence[str]]) -> DataFrame:
-        return self.hint(concept_roles(self._tables["concept_name"], wanted))
+        return F.broadcast(concept_roles(self._tables["concept_name"], wanted))
 
-    @cached_property
-    def states(self) -> DataFrame:
+    def states(self, roles: Mapping[str, Sequence[str]], program: str) -> DataFrame:
         t = self._tables
-        return checked_broadcast(
-            state_dim(t["program_workflow_state"], t["program_workflow"], t["program"], t["concept_name"]),
-            source=t["program_workflow_state"],
+        return state_dim(
+            t["program_workflow_state"], t["program_workflow"], t["program"], t["concept_name"], roles, program,
         )
 
 
@@ -111,42 +83,32 @@ def coded_name(df: DataFrame, words: Dictionary, coded: str, coded_name_id: str
     return joined.join(by_name, coded_name_id, "left").withColumn(out, picked).drop("_by_concept", "_by_name")
 
 
-def with_encounter_type(df: DataFrame, encounter: DataFrame, encounter_type: DataFrame) -> DataFrame:
-    """Adds ``encounter_type_name`` through the encounter of a row."""
-    types = checked_broadcast(
-        encounter_type.select(
-            F.col("encounter_type_id").alias("encounter_type"), F.col("name").alias("encounter_type_name")
-        )
-    )
-    visit = encounter.select("encounter_id", "encounter_type")
-    return df.join(visit, "encounter_id", "left").join(types, "encounter_type", "left").drop("encounter_type")
-
-
-def with_patient(df: DataFrame, owner: DataFrame, key: str) -> DataFrame:
-    """Adds the patient that owns a row, by programme or by order."""
-    return df.join(owner.select(key, "patient_id"), key, "inner")
-
-
 def state_dim(
-    program_workflow_state: DataFrame, program_workflow: DataFrame, program: DataFrame, names: DataFrame
+    program_workflow_state: DataFrame, program_workflow: DataFrame, program: DataFrame, names: DataFrame,
+    roles: Mapping[str, Sequence[str]], program_name: str,
 ) -> DataFrame:
-    """Workflow states with state and programme names spelled out.
+    """Workflow states with their role bits, found by any name of their concept.
 
-    ``(state, state_concept_id, state_name, program_id, program_key)``: one row per state.
+    ``(state, state_concept_id, state_name, program_id, in_program, state_roles)``: one row per state. ``state_name`` is
+    the preferred name, for printing; ``in_program`` tells whether any name of the state's programme is ``program_name``.
     """
-    one_name = preferred_names(names)
-    programs = program.join(one_name, "concept_id", "left").select("program_id", ci("name").alias("program_key"))
+    wanted = concept_id_by_name(names, [program_name]).select("concept_id").distinct().withColumn("in_program", F.lit(True))
+    programs = program.join(F.broadcast(wanted), "concept_id", "left").select(
+        "program_id", F.coalesce("in_program", F.lit(False)).alias("in_program"))
+    found = F.broadcast(concept_roles(names, roles)).withColumnRenamed("roles", "state_roles")
     return (
         program_workflow_state.select("program_workflow_state_id", "program_workflow_id", "concept_id")
         .join(program_workflow.select("program_workflow_id", "program_id"), "program_workflow_id", "left")
         .join(programs, "program_id", "left")
-        .join(one_name, "concept_id", "left")
+        .join(preferred_names(names), "concept_id", "left")
+        .join(found, "concept_id", "left")
         .select(
             F.col("program_workflow_state_id").alias("state"),
             F.col("concept_id").alias("state_concept_id"),
             F.col("name").alias("state_name"),
             "program_id",
-            "program_key",
+            F.coalesce("in_program", F.lit(False)).alias("in_program"),
+            F.coalesce("state_roles", F.lit(0)).alias("state_roles"),
         )
     )
 
@@ -179,7 +141,7 @@ def remap_by_name(
     """Maps a source type to the target type of the same name; no such name gives NULL."""
     by_name = dst.groupBy(ci(F.col("name")).alias("_key")).agg(F.min(dst_id).alias("_new"))
     pairs = src.select(F.col(src_id).alias("_old"), ci(F.col("name")).alias("_key")).join(by_name, "_key", "left")
-    return remap(df, column, checked_broadcast(pairs.select("_old", "_new")), "_old", "_new", out)
+    return remap(df, column, pairs.select("_old", "_new"), "_old", "_new", out)
 
 
 def daily_dose(df: DataFrame, totals: DataFrame) -> DataFrame:

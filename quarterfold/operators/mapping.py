@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from quarterfold.functions import row_uuid
-from quarterfold.operators.lookups import checked_broadcast, fixed_table
+from quarterfold.operators.lookups import fixed_table
 
 
 @dataclass(frozen=True)
@@ -16,7 +16,7 @@ class MappingSpec:
 
     ``columns`` are target names, or ``target = SQL over source columns``.
     ``actors`` go through the user map, ``concepts`` through the concept map.
-    ``key`` makes the row identifier.
+    ``key`` names the columns of the source row that make the row identifier; together they must be unique.
     """
 
     target: str
@@ -34,7 +34,7 @@ class MappingSpec:
 
 
 class KeyMaps:
-    """The maps a migration needs, checked once for their size."""
+    """The maps a migration needs, one row per old key."""
 
     def __init__(self, users: DataFrame, concepts: DataFrame, drugs: DataFrame):
         self.concept_names = concepts
@@ -45,7 +45,7 @@ class KeyMaps:
     @staticmethod
     def _pairs(table: DataFrame, old: str, new: str) -> DataFrame:
         pairs = table.groupBy(F.col(old).alias("_old")).agg(F.min(new).alias("_new"))
-        return checked_broadcast(pairs, source=table)
+        return pairs
 
 
 def remap_columns(df: DataFrame, columns: tuple[str, ...], pairs: DataFrame, missing: str = "null") -> DataFrame:
@@ -68,10 +68,10 @@ def apply_mapping(spec: MappingSpec, src, maps: KeyMaps, missing: str = "null")
     rows = src[spec.source]
     if spec.where:
         rows = rows.filter(spec.where)
-    rows = rows.selectExpr(*spec.select_list())
+    rows = rows.withColumn("uuid", row_uuid(spec.target, *[F.col(k) for k in spec.key]))
+    rows = rows.selectExpr(*spec.select_list(), "uuid")
     rows = remap_columns(rows, spec.actors, maps.users, missing)
-    rows = remap_columns(rows, spec.concepts, maps.concepts, missing)
-    return rows.withColumn("uuid", row_uuid(spec.target, *[F.col(k) for k in spec.key]))
+    return remap_columns(rows, spec.concepts, maps.concepts, missing)
 
 
 def recode(df: DataFrame, column: str, pairs, out: str, otherwise=None) -> DataFrame:

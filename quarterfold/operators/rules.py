@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from quarterfold.functions import age_years, ci
-from quarterfold.operators.lookups import checked_broadcast, concept_roles, fixed_table
+from quarterfold.operators.lookups import concept_roles, fixed_table
 from quarterfold.operators.rows import any_per
 
 CHILD_UP_TO = 14
@@ -90,7 +90,7 @@ def regimen_category(
 
 def _staging_encounters(src, columns: list[str], voided_too: bool) -> DataFrame:
     types = src["encounter_type"].filter(ci(F.col("name")) == STAGING.lower())
-    types = checked_broadcast(types.selectExpr("encounter_type_id AS encounter_type"))
+    types = F.broadcast(types.selectExpr("encounter_type_id AS encounter_type"))
     visits = src["encounter"] if voided_too else src["encounter"].filter("voided = 0")
     return visits.join(types, "encounter_type", "left_semi").select("patient_id", *columns)
 
@@ -114,8 +114,8 @@ def who_stage(src, asked: DataFrame, as_of: str) -> DataFrame:
     The highest stage with a confirmed condition at the patient's staging
     visit (the one with the lowest id), else 1.
     """
-    yes = checked_broadcast(src["concept"].filter(ci(F.col("name")) == "yes").selectExpr("concept_id AS value_coded"))
-    members = checked_broadcast(stage_members(src), source=src["concept_set"])
+    yes = F.broadcast(src["concept"].filter(ci(F.col("name")) == "yes").selectExpr("concept_id AS value_coded"))
+    members = stage_members(src)
     visit = any_per(_staging_encounters(src, ["encounter_id"], voided_too=False), "patient_id", "encounter_id")
     confirmed = (
         src["obs"].select("patient_id", "encounter_id", "concept_id", "value_coded")
@@ -198,7 +198,7 @@ def art_eligibility_reason(src, as_of: str, compat: str = "intended") -> DataFra
     if compat not in ("intended", "as_written"):
         raise ValueError(f"compat must be 'intended' or 'as_written', not {compat!r}")
     as_written = compat == "as_written"
-    roles = checked_broadcast(concept_roles(src["concept"], ELIGIBILITY_ROLES), source=src["concept"])
+    roles = F.broadcast(concept_roles(src["concept"], ELIGIBILITY_ROLES))
     told = (
         src["obs"].select("patient_id", "concept_id", "value_coded", "value_numeric", "voided")
         .join(roles.withColumnRenamed("roles", "asked_roles"), "concept_id")
@@ -244,6 +244,6 @@ def art_eligibility_reason(src, as_of: str, compat: str = "intended") -> DataFra
     ids = src["concept"].groupBy(ci(F.col("name")).alias("_key")).agg(F.min("concept_id").alias("reason_concept_id"))
     return (
         reasons.withColumn("_key", ci(F.col("reason")))
-        .join(checked_broadcast(ids, source=src["concept"]), "_key", "left")
+        .join(ids, "_key", "left")
         .select("patient_id", "reason", "reason_concept_id")
     )

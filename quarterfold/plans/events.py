@@ -18,7 +18,7 @@ from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from quarterfold.operators.lookups import Dictionary, arv_drugs, checked_broadcast, concept_roles
+from quarterfold.operators.lookups import Dictionary, arv_drugs, concept_roles
 
 # SQL condition of a slot, alone or with the SQL of its value.
 Rule = str | tuple[str, str]
@@ -54,8 +54,7 @@ ARV_SET = "Arvs"
 ARV_CONCEPTS = (792, 1610, 1613, 2988, 7994, 1612)
 # Workflow names.
 PROGRAM = "HIV PROGRAM"
-STATE_STARTED = "On antiretrovirals"
-STATE_STOPPED = "Treatment stopped"
+STATE_ROLES: Mapping[str, tuple[str, ...]] = {"started": ("On antiretrovirals",), "stopped": ("Treatment stopped",)}
 
 # Slot name -> type of the value kept beside its time; None keeps the time only.
 SLOTS: Mapping[str, str | None] = {
@@ -162,7 +161,7 @@ OBSERVATION_RULES: Mapping[str, Rule] = {
 }
 _SAID_NO = f"(({_value('no')}) OR coalesce(lower(rtrim(value_text)) = 'no', FALSE))"
 _TREATMENT_LAPSED = "coalesce(datediff(at, value_datetime) > 60, FALSE)"
-_GIVEN_START = "coalesce(to_date(value_datetime), try_to_date(substring(value_text, 1, 10)))"
+_GIVEN_START = "coalesce(to_date(value_datetime), try_to_date(value_text, 'yyyy-MM-dd'), to_date(try_to_timestamp(value_text)))"
 VISIT_RULES: Mapping[str, Rule] = {
     "regimen": (_concept("regimen"), "value_text"),
     "side_effects": _concept("side_effect"),
@@ -182,14 +181,15 @@ VISITS_OF: Mapping[str, str] = {
 }
 
 
-def _is_state(name: str) -> str:
-    return f"lower(rtrim(state_name)) = '{name.lower()}' AND program_key = '{PROGRAM.lower()}'"
+def is_state(role: str) -> str:
+    """The state has the role in the programme."""
+    return f"in_program AND ({_asks('state_roles', STATE_ROLES, role)})"
 
 
 STATE_RULES: Mapping[str, Rule] = {
     "state": ("TRUE", "state"),
-    "stopped": _is_state(STATE_STOPPED),
-    "first_start": f"{_is_state(STATE_STARTED)} AND at IS NOT NULL",
+    "stopped": is_state("stopped"),
+    "first_start": f"{is_state('started')} AND at IS NOT NULL",
 }
 # Quantity over daily dose, rounded to whole days; no dose counts as one a day, a zero dose gives no date.
 EXPIRY_RULES: Mapping[str, Rule] = {
@@ -223,9 +223,7 @@ class ClinicalEvents:
     def _visit_types(self) -> DataFrame:
         types = self.tables["encounter_type"].withColumnRenamed("encounter_type_id", "concept_id")
         named = concept_roles(types, VISIT_ROLES)
-        return checked_broadcast(
-            named.selectExpr("concept_id AS encounter_type", "roles AS visit_roles"), source=types
-        )
+        return F.broadcast(named.selectExpr("concept_id AS encounter_type", "roles AS visit_roles"))
 
     # event sources ----------------------------------------------------------
 
@@ -288,15 +286,14 @@ class ClinicalEvents:
         )
         rows = rows.join(
             self.tables["patient_program"].select("patient_program_id", "patient_id"), "patient_program_id"
-        ).join(self.words.states.select("state", "state_name", "program_key"), "state", "left")
+        ).join(self.words.states(STATE_ROLES, PROGRAM).select("state", "in_program", "state_roles"), "state", "left")
         return self._event(rows, STATE_RULES)
 
     def drug_expiry(self, drug_order: DataFrame | None = None) -> DataFrame:
         drugs = self.tables["drug_order"] if drug_order is None else drug_order
         t = self.tables
-        arvs = checked_broadcast(
-            arv_drugs(t["drug"], t["concept_set"], t["concept_name"], ARV_SET, ARV_CONCEPTS), source=t["drug"]
-        ).selectExpr("drug_id AS drug_inventory_id")
+        arvs = arv_drugs(t["drug"], t["concept_set"], t["concept_name"], ARV_SET, ARV_CONCEPTS).selectExpr(
+            "drug_id AS drug_inventory_id")
         given = drugs.filter("quantity > 0").selectExpr(
             "order_id", *self.ordering.ranking(), "drug_inventory_id", "quantity", "equivalent_daily_dose"
         )

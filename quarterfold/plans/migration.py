@@ -7,16 +7,16 @@ the order in which the functions are called.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from quarterfold.functions import ci, row_uuid
 from quarterfold.operators import rules
 from quarterfold.operators.lookups import (
-    Dictionary, checked_broadcast, concept_id_by_name, daily_dose, remap_by_name,
+    Dictionary, concept_id_by_name, daily_dose, remap_by_name,
 )
 from quarterfold.operators.mapping import KeyMaps, MappingSpec, apply_mapping, recode, remap_actor, remap_columns
 from quarterfold.operators.rows import any_per, latest_per, not_processed, semi, sequential_ids
-from quarterfold.plans.events import PROGRAM, STATE_STARTED
+from quarterfold.plans.events import PROGRAM, STATE_ROLES, is_state
 
 # Relationship types, source to target; all others become 13.
 RELATIONSHIP_TYPES = ((1, 7), (2, 3), (4, 3), (6, 3), (7, 11), (8, 2), (9, 12))
@@ -59,13 +59,24 @@ SOURCE_STATUS_CONCEPT = 28
 REGIMEN_DRUG_CONCEPTS = (450, 451, 452, 458, 826, 827, 828, 829, 453)
 EXPORT_CONTACT_TYPE_IDS = (2, 3, 5, 6, 8, 9, 11, 12)
 
+# Columns of the target tables.
 _VOIDING = ("voided", "voided_by", "date_voided", "void_reason")
 _CHANGING = ("changed_by", "date_changed")
+OBS_BEFORE = (
+    "encounter_id", "order_id", "obs_datetime", "location_id", "obs_group_id", "accession_number", "value_group_id", "value_boolean",
+)
+OBS_AFTER = (
+    "value_drug", "value_datetime", "value_numeric", "value_modifier", "value_text", "date_started", "date_stopped", "comments",
+    "creator", "date_created", *_VOIDING,
+)
+ORDER_END = ("discontinued", "discontinued_date", "discontinued_by", "discontinued_reason")
+# Source columns that tell identifiers apart, with a number within equal ones.
+IDENTIFIER_KEY = ("patient_id", "identifier_type", "identifier", "nth")
 PERSON = MappingSpec(
     "person", "patient",
     ("person_id = patient_id", "gender", "birthdate", "birthdate_estimated", "dead", "death_date", "cause_of_death",
      "creator", "date_created", *_CHANGING, *_VOIDING),
-    key=("person_id",), actors=("creator", "changed_by", "voided_by"),
+    key=("patient_id",), actors=("creator", "changed_by", "voided_by"),
 )
 PATIENT = MappingSpec(
     "patient", "patient",
@@ -78,13 +89,13 @@ ADDRESS = MappingSpec(
      "city_village", "state_province", "postal_code", "country", "latitude", "longitude", "creator", "date_created",
      *_VOIDING, "county_district = CAST(NULL AS STRING)", "neighborhood_cell = CAST(NULL AS STRING)",
      "region = CAST(NULL AS STRING)", "subregion = CAST(NULL AS STRING)", "township_division = CAST(NULL AS STRING)"),
-    key=("person_address_id",), actors=("creator", "voided_by"),
+    key=("patient_address_id",), actors=("creator", "voided_by"),
 )
 NAME = MappingSpec(
     "person_name", "patient_name",
     ("preferred", "person_id = patient_id", "prefix", "given_name", "middle_name", "family_name_prefix",
      "family_name", "family_name2", "family_name_suffix", "degree", "creator", "date_created", *_VOIDING, *_CHANGING),
-    key=("person_id", "given_name", "family_name"), actors=("creator", "voided_by", "changed_by"),
+    key=("patient_name_id",), actors=("creator", "voided_by", "changed_by"),
 )
 PROGRAM_ENROLMENT = MappingSpec(
     "patient_program", "patient_program",
@@ -156,10 +167,17 @@ def names(src, maps: KeyMaps) -> DataFrame:
     return apply_mapping(NAME, src, maps)
 
 
+def _told_apart(identifiers: DataFrame) -> DataFrame:
+    """Adds ``nth``: a number within rows of one patient, type and text, which have no key of their own."""
+    same = Window.partitionBy("patient_id", "identifier_type", "identifier").orderBy("date_created", "creator", "location_id")
+    return identifiers.withColumn("nth", F.row_number().over(same))
+
+
 def _by_contact(src, contact: bool) -> DataFrame:
     contacts = src["identifier_type"].filter(ci(F.col("name")).isin([c.lower() for c in CONTACT_TYPES]))
-    contacts = checked_broadcast(contacts.selectExpr("patient_identifier_type_id AS identifier_type"))
-    return src["patient_identifier"].join(contacts, "identifier_type", "left_semi" if contact else "left_anti")
+    contacts = F.broadcast(contacts.selectExpr("patient_identifier_type_id AS identifier_type"))
+    return _told_apart(src["patient_identifier"]).withColumn("_uuid", row_uuid(
+        "person_attribute" if contact else "patient_identifier", *map(F.col, IDENTIFIER_KEY))).join(contacts, "identifier_type", "left_semi" if contact else "left_anti")
 
 
 def identifiers(src, dst, maps: KeyMaps) -> DataFrame:
@@ -169,11 +187,9 @@ def identifiers(src, dst, maps: KeyMaps) -> DataFrame:
         dst["identifier_type"], "patient_identifier_type_id", "target_type",
     ).selectExpr(
         "patient_id", "identifier", "target_type AS identifier_type", "preferred", "location_id", "creator",
-        "date_created", *_VOIDING,
-    )
-    return remap_actor(rows, ("creator", "voided_by"), maps).withColumn(
-        "uuid", row_uuid("patient_identifier", F.col("patient_id"), F.col("identifier"))
+        "date_created", *_VOIDING, "_uuid AS uuid",
     )
+    return remap_actor(rows, ("creator", "voided_by"), maps)
 
 
 def attributes(src, dst, maps: KeyMaps) -> DataFrame:
@@ -182,11 +198,10 @@ def attributes(src, dst, maps: KeyMaps) -> DataFrame:
         _by_contact(src, True), "identifier_type", src["identifier_type"], "patient_identifier_type_id",
         dst["attribute_type"], "person_attribute_type_id", "person_attribute_type_id",
     ).selectExpr(
-        "patient_id AS person_id", "identifier AS value", "person_attribute_type_id", "creator", "date_created", *_VOIDING
-    )
-    return remap_actor(rows, ("creator", "voided_by"), maps).withColumn(
-        "uuid", row_uuid("person_attribute", F.col("person_id"), F.col("value"))
+        "patient_id AS person_id", "identifier AS value", "person_attribute_type_id", "creator", "date_created", *_VOIDING,
+        "_uuid AS uuid",
     )
+    return remap_actor(rows, ("creator", "voided_by"), maps)
 
 
 # ---- programmes and states ------------------------------------------------------
@@ -202,17 +217,22 @@ def latest_program(src) -> DataFrame:
 
 
 def _program_states(dst) -> DataFrame:
-    return Dictionary(dst).states.filter(F.col("program_key") == PROGRAM.lower())
+    return Dictionary(dst).states(STATE_ROLES, PROGRAM).filter("in_program")
 
 
 def _started_state(dst):
-    return _program_states(dst).filter(ci(F.col("state_name")) == STATE_STARTED.lower()).agg(F.min("state")).scalar()
+    return _program_states(dst).filter(is_state("started")).agg(F.min("state")).scalar()
+
+
+def _state_of_concept(dst) -> DataFrame:
+    """One state per concept, the lowest, should several workflows of the programme have it: ``(value_coded, state)``."""
+    return _program_states(dst).groupBy(F.col("state_concept_id").alias("value_coded")).agg(F.min("state").alias("state"))
 
 
 def dispensed_orders(src) -> DataFrame:
     """Orders of the one dispensing visit of each enrolled patient (the one with the lowest id)."""
     visits = src["encounter"].join(
-        checked_broadcast(
+        F.broadcast(
             src["encounter_type"].filter(ci(F.col("name")) == DISPENSING_VISIT.lower())
             .selectExpr("encounter_type_id AS encounter_type")
         ),
@@ -236,8 +256,7 @@ def states_from_regimen_orders(src, dst, maps: KeyMaps) -> DataFrame:
     drugs = src["drug"].filter(F.col("concept_id").isin(list(REGIMEN_DRUG_CONCEPTS))).selectExpr(
         "drug_id AS drug_inventory_id"
     )
-    regimens = checked_broadcast(drugs, source=src["drug"])
-    given = src["drug_order"].join(regimens, "drug_inventory_id", "left_semi").select("order_id")
+    given = src["drug_order"].join(drugs, "drug_inventory_id", "left_semi").select("order_id")
     rows = (
         src["orders"].select("order_id", "encounter_id", "date_created", "creator")
         .join(given, "order_id", "left_semi")
@@ -256,10 +275,10 @@ def states_from_obs(obs: DataFrame, audit: DataFrame, src, dst) -> tuple[DataFra
     ``obs`` are target observations. Each observation counts once, however
     often it is offered.
     """
-    wanted = checked_broadcast(concept_id_by_name(dst["concept_name"], [TREATMENT_STATUS]).select("concept_id"))
+    wanted = F.broadcast(concept_id_by_name(dst["concept_name"], [TREATMENT_STATUS]).select("concept_id"))
     status = semi(obs, wanted, "concept_id").select("obs_id", "person_id", "value_coded", "obs_datetime", "creator")
     fresh = not_processed(any_per(status, "obs_id", "obs_datetime"), audit, "obs_id")
-    known = _program_states(dst).selectExpr("state_concept_id AS value_coded", "state")
+    known = _state_of_concept(dst)
     rows = (
         fresh.join(known, "value_coded", "left")
         .join(latest_program(src).withColumnRenamed("patient_id", "person_id"), "person_id", "left")
@@ -274,8 +293,8 @@ def states_from_obs(obs: DataFrame, audit: DataFrame, src, dst) -> tuple[DataFra
 
 # ---- visits and observations ------------------------------------------------------
 
-def encounters(src, dst, maps: KeyMaps, compat: str = "intended") -> DataFrame:
-    """Visits with their type recoded by name; a type without a target becomes NULL."""
+def _visit_types(src, dst, compat: str) -> DataFrame:
+    """Source visit type to target visit type."""
     pairs = VISIT_TYPES_AS_WRITTEN if compat == "as_written" else VISIT_TYPES
     types = recode(
         src["encounter_type"].selectExpr("encounter_type_id AS encounter_type", "lower(rtrim(name)) AS _name"),
@@ -285,8 +304,12 @@ def encounters(src, dst, maps: KeyMaps, compat: str = "intended") -> DataFrame:
         F.min("encounter_type_id").alias("target_type")
     )
     types = types.withColumn("_key", ci(F.col("_target"))).join(targets, "_key", "left")
-    types = checked_broadcast(types.select("encounter_type", "target_type"), source=src["encounter_type"])
-    rows = src["encounter"].join(types, "encounter_type", "left").selectExpr(
+    return types.select("encounter_type", "target_type")
+
+
+def encounters(src, dst, maps: KeyMaps, compat: str = "intended") -> DataFrame:
+    """Visits with their type recoded by name; a type without a target becomes NULL."""
+    rows = src["encounter"].join(_visit_types(src, dst, compat), "encounter_type", "left").selectExpr(
         "encounter_id", "target_type AS encounter_type", "patient_id", "provider_id", "location_id", "form_id",
         "encounter_datetime", "creator", "date_created",
     )
@@ -308,7 +331,6 @@ def obs_mapped(src, dst, maps: KeyMaps, invert: bool = True) -> DataFrame:
         F.bool_or(F.expr(f"lower(rtrim(old_concept_name)) IN ({listed})")).alias("symptom"),
         F.bool_or(F.expr(f"lower(rtrim(old_concept_name)) IN ({yes})")).alias("confirmed"),
     )
-    old = checked_broadcast(old, source=maps.concept_names)
     asked = old.selectExpr("old_concept_id AS concept_id", "new_id AS asked_id", "symptom")
     told = old.selectExpr("old_concept_id AS value_coded", "new_id AS told_id", "confirmed")
     induced = concept_id_by_name(dst["concept_name"], [DRUG_INDUCED]).agg(F.min("concept_id")).scalar()
@@ -318,9 +340,7 @@ def obs_mapped(src, dst, maps: KeyMaps, invert: bool = True) -> DataFrame:
         .withColumn("induced_id", induced)
         .selectExpr(
             "obs_id", "patient_id AS person_id", f"CASE WHEN {turned} THEN induced_id ELSE asked_id END AS concept_id",
-            "encounter_id", "order_id", "obs_datetime", "location_id",
-            f"CASE WHEN {turned} THEN concept_id ELSE told_id END AS value_coded",
-            "value_datetime", "value_numeric", "value_text", "creator", "date_created", "voided", "voided_by",
+            *OBS_BEFORE, f"CASE WHEN {turned} THEN concept_id ELSE told_id END AS value_coded", *OBS_AFTER,
         )
     )
     return remap_actor(rows, ("creator", "voided_by"), maps).withColumn("uuid", row_uuid("obs", F.col("obs_id")))
@@ -339,7 +359,7 @@ def eligibility_obs(src, dst, maps: KeyMaps, as_of: str, compat: str = "intended
     today = src["patient"].selectExpr("patient_id", f"DATE'{as_of}' AS asked")
     beyond = rules.who_stage(src, today, as_of).filter("stage > 1").select("patient_id")
     reasons = rules.art_eligibility_reason(src, as_of, compat).filter("reason_concept_id IS NOT NULL")
-    staging = checked_broadcast(
+    staging = F.broadcast(
         src["encounter_type"].filter(ci(F.col("name")) == rules.STAGING.lower()).selectExpr("encounter_type_id AS encounter_type")
     )
     visit = src["encounter"].join(staging, "encounter_type", "left_semi").select(
@@ -361,7 +381,7 @@ def eligibility_obs(src, dst, maps: KeyMaps, as_of: str, compat: str = "intended
 
 def regimen_obs(src, dst, maps: KeyMaps, as_of: str) -> DataFrame:
     """The derived regimen category of each dispensed order."""
-    drugs = checked_broadcast(src["drug"].selectExpr("drug_id AS drug_inventory_id", "concept_id AS regimen"), source=src["drug"])
+    drugs = src["drug"].selectExpr("drug_id AS drug_inventory_id", "concept_id AS regimen")
     given = src["drug_order"].select("order_id", "drug_inventory_id").join(drugs, "drug_inventory_id", "left")
     rows = dispensed_orders(src).join(given.select("order_id", "regimen"), "order_id", "left")
     rows = rules.regimen_category(rows, src["patient"], "regimen", "date_created", as_of, "value_text")
@@ -391,10 +411,10 @@ def orders_mapped(src, maps: KeyMaps) -> DataFrame:
     days = "CAST(round(try_divide(CAST(quantity AS DOUBLE), coalesce(daily_consumption, 1D))) AS INT)"
     rows = src["orders"].join(owner, "encounter_id").join(supply, "order_id", "left").selectExpr(
         "order_id", "order_type_id", "concept_id", "orderer", "encounter_id", "instructions", f"{start} AS start_date",
-        f"coalesce(auto_expire_date, {start} + make_dt_interval({days})) AS auto_expire_date", "discontinued",
-        "creator", "date_created", "voided", "voided_by", "patient_id",
+        f"coalesce(auto_expire_date, {start} + make_dt_interval({days})) AS auto_expire_date", *ORDER_END, "creator",
+        "date_created", *_VOIDING, "patient_id",
     )
-    return remap_actor(rows, ("orderer", "creator", "voided_by"), maps).withColumn("uuid", row_uuid("orders", F.col("order_id")))
+    return remap_actor(rows, ("orderer", "discontinued_by", "creator", "voided_by"), maps).withColumn("uuid", row_uuid("orders", F.col("order_id")))
 
 
 def drug_orders(src, maps: KeyMaps) -> DataFrame:
@@ -419,19 +439,24 @@ _EXPORT = {
     "patient_identifier": MappingSpec(
         "patient_identifier", "patient_identifier",
         ("patient_id", "identifier", "identifier_type", "preferred", "location_id", "creator", "date_created", *_VOIDING),
-        key=("patient_id", "identifier"), actors=("creator", "voided_by"),
+        key=IDENTIFIER_KEY, actors=("creator", "voided_by"),
         where=f"identifier_type NOT IN {EXPORT_CONTACT_TYPE_IDS}",
     ),
     "obs": MappingSpec(
         "obs", "obs",
-        ("obs_id", "person_id = patient_id", "concept_id", "encounter_id", "order_id", "obs_datetime", "location_id",
-         "value_coded", "value_datetime", "value_numeric", "value_text", "creator", "date_created", "voided", "voided_by"),
+        ("obs_id", "person_id = patient_id", "concept_id", *OBS_BEFORE, "value_coded", *OBS_AFTER),
         key=("obs_id",), actors=("creator", "voided_by"), concepts=("concept_id", "value_coded"),
     ),
+    "encounter": MappingSpec(
+        "encounter", "encounter",
+        ("encounter_id", "encounter_type = coalesce(target_type, encounter_type)", "patient_id", "provider_id", "location_id", "form_id",
+         "encounter_datetime", "creator", "date_created", *_VOIDING, *_CHANGING),
+        key=("encounter_id",), actors=("creator", "voided_by", "changed_by"),
+    ),
     "orders": MappingSpec(
         "orders", "orders",
         ("order_id", "order_type_id", "concept_id", "orderer", "encounter_id", "instructions", "start_date",
-         "auto_expire_date", "discontinued", "creator", "date_created", "voided", "voided_by"),
+         "auto_expire_date", *ORDER_END, "creator", "date_created", *_VOIDING),
         key=("order_id",), actors=("creator", "voided_by"), concepts=("concept_id",),
     ),
     "drug_order": MappingSpec(
@@ -443,12 +468,15 @@ _EXPORT = {
 
 def export_table(name: str, src, dst, maps: KeyMaps) -> DataFrame:
     """One table of the table-driven export; keys without a mapping keep their old value."""
+    if name == "patient_identifier":
+        return apply_mapping(_EXPORT[name], {name: _told_apart(src[name])}, maps, missing="keep")
+    if name == "encounter":
+        typed = src[name].join(_visit_types(src, dst, "intended"), "encounter_type", "left")
+        return apply_mapping(_EXPORT[name], {name: typed}, maps, missing="keep")
     if name in _EXPORT:
         return apply_mapping(_EXPORT[name], src, maps, missing="keep")
-    if name == "encounter":
-        return encounters(src, dst, maps)
     if name == "patient_state":
-        known = _program_states(dst).selectExpr("state_concept_id AS value_coded", "state")
+        known = _state_of_concept(dst)
         rows = src["obs"].filter(F.col("concept_id") == SOURCE_STATUS_CONCEPT)
         rows = remap_columns(rows, ("value_coded",), maps.concepts)
         rows = rows.join(known, "value_coded", "left").join(latest_program(src), "patient_id", "left")

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quarterfold.operators.lookups import Dictionary, coded_name
-from quarterfold.plans.events import FIRST_WINS, SLOTS, ClinicalEvents, Ordering
+from quarterfold.plans.events import FIRST_WINS, PROGRAM, SLOTS, STATE_ROLES, ClinicalEvents, Ordering
 
 START_COLUMNS = ("art_start_date", "age_initiation", "registration_date")
 
@@ -68,7 +68,7 @@ DETAIL_COLUMNS = (
 
 def _with_names(df: DataFrame, words: Dictionary) -> DataFrame:
     """Spells out coded values after the fold, when few rows are left."""
-    states = words.states.select(F.col("state").alias("_state"), F.col("state_name").alias("latest_state"))
+    states = words.states(STATE_ROLES, PROGRAM).select(F.col("state").alias("_state"), F.col("state_name").alias("latest_state"))
     df = coded_name(df, words, "_reason_coded", "_reason_name_id", "reason_for_art_eligibility")
     df = coded_name(df, words, "_tb_status", None, "tb_status")
     # a pregnancy is recorded only for a patient with a treatment start

@@ -24,3 +24,9 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path nobody else writes to."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file is there, on whatever file system the path names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)

@@ -17,13 +17,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quarterfold.plans import readmodel
 from quarterfold.plans.events import SLOTS, ClinicalEvents, Ordering
 from quarterfold.plans.migration import states_from_obs
+from quarterfold.sources.scratch import exists
 
 FOLD_COLUMNS = ("patient_id", "quarter_start", *SLOTS)
 INDEX_SCHEMA = "source string, last_batch bigint, v bigint"
@@ -74,13 +74,19 @@ def start_report_stream(
 
 def _newest_base(spark: SparkSession, target: str) -> tuple[int, dict[str, int]]:
     """Version of the newest complete base (0: none) and the last batch it covers per source."""
-    try:
-        index = spark.read.schema(INDEX_SCHEMA).parquet(f"{target}/index")
-    except AnalysisException:  # nothing compacted yet
+    if not exists(spark, f"{target}/index"):  # nothing compacted yet
         return 0, {}
+    index = spark.read.schema(INDEX_SCHEMA).parquet(f"{target}/index")
     newest = index.agg(F.max("v")).first()[0]
-    # one row per source
-    return newest, {r.source: r.last_batch for r in index.filter(F.col("v") == newest).limit(len(EVENTS_OF)).collect()}
+    return newest, _by_source(index.filter(F.col("v") == newest).select("source", "last_batch"))
+
+
+def _by_source(last: DataFrame) -> dict[str, int]:
+    """Last batch of each source, one row per source; a source nobody knows is an error."""
+    found = {r.source: r.last_batch for r in last.collect()}
+    if unknown := sorted(set(found) - set(EVENTS_OF)):
+        raise ValueError(f"unknown sources {unknown}; known: {sorted(EVENTS_OF)}")
+    return found
 
 
 def _deltas(spark: SparkSession, target: str, covered: Mapping[str, int]) -> DataFrame:
@@ -104,7 +110,7 @@ def compact(spark: SparkSession, target: str) -> int:
     version, covered = _newest_base(spark, target)
     deltas = _deltas(spark, target, covered)
     seen = deltas.groupBy("source").agg(F.max("batch").cast("bigint").alias("last_batch"))
-    last = covered | {r.source: r.last_batch for r in seen.limit(len(EVENTS_OF)).collect()}
+    last = covered | _by_source(seen)
     upto = F.lit(False)
     for source, batch in last.items():
         upto = upto | ((F.col("source") == source) & (F.col("batch") <= batch))
@@ -134,10 +140,10 @@ def start_status_stream(
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
+        if exists(spark, f"{target}/audit"):
             audit = spark.read.parquet(f"{target}/audit").filter(F.col("batch") < batch_id).select("obs_id")
-        except AnalysisException:  # first batch
-            audit = batch.select("obs_id").limit(0)
+        else:  # first batch
+            audit = batch.select("obs_id").filter("false")
         states, done = states_from_obs(batch, audit, src, dst)
         states.write.mode("overwrite").parquet(f"{target}/states/batch={batch_id}")
         done.write.mode("overwrite").parquet(f"{target}/audit/batch={batch_id}")

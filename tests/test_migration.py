@@ -75,3 +75,24 @@ def test_exports_and_writers(spark, run, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/t").count() == 2
     write_upsert(df, spark.createDataFrame([(1, "b"), (2, "c")], "k int, v string"), "k", f"{tmp_path}/v2")
     assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/v2").collect())) == [(1, "a"), (2, "c")]
+
+
+@pytest.mark.parametrize("step", ["mig_names", "mig_identifiers", "mig_attributes", "mig_export_identifiers", "mig_obs", "mig_orders"])
+def test_row_identifiers_are_unique(run, step):
+    rows = STEPS[step](run)
+    assert rows.count() == rows.select("uuid").distinct().count() > 0
+
+
+def test_equal_identifiers_are_told_apart(spark, run):
+    twice = run.src["patient_identifier"].filter("patient_id % 2 = 0")
+    doubled = {**{t: run.src[t] for t in ("identifier_type",)}, "patient_identifier": twice.unionAll(twice)}
+    rows = m.identifiers(doubled, run.dst, run.maps)
+    assert rows.count() == rows.select("uuid").distinct().count() > 0
+
+
+def test_no_source_column_of_an_observation_is_lost(run):
+    kept = set(m.obs_mapped(run.src, run.dst, run.maps).columns) | {"patient_id"}
+    assert set(run.src["obs"].columns) <= kept
+    assert set(run.src["orders"].columns) <= set(m.orders_mapped(run.src, run.maps).columns)
+    assert set(run.src["obs"].columns) <= set(m.export_table("obs", run.src, run.dst, run.maps).columns) | {"patient_id"}
+    assert set(run.src["encounter"].columns) <= set(m.export_table("encounter", run.src, run.dst, run.maps).columns)

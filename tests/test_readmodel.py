@@ -161,3 +161,29 @@ def test_last_arrival_wins_on_request(spark):
     assert built(t)[0][1].latest_state == "Patient died"
     r, _ = built(Sequenced(), Ordering(arrival="seq"))
     assert r[1].latest_state == "On antiretrovirals" and str(r[1].latest_state_date) == "2000-01-01 00:00:00"
+
+
+def test_states_and_programme_are_found_by_any_name(spark):
+    """A synonym with a lower id changes the printed name, not what the state means."""
+    t = Tiny(spark).patient(1)
+    t.state(1, 1, tiny.ON_ART, "2000-01-01").state(2, 1, tiny.STOPPED, "2000-05-01")
+
+    class Renamed:
+        def __getitem__(self, name):
+            if name != "concept_name":
+                return t[name]
+            more = [(7010, "Receiving treatment", 1), (1579, "Stopped for good", 2), (7882, "Programme one", 3)]
+            return t[name].unionByName(spark.createDataFrame(more, "concept_id long, name string, concept_name_id long"))
+
+    (plain, _), (renamed, _) = built(t), built(Renamed())
+    assert plain[1].latest_state == "Treatment stopped" and renamed[1].latest_state == "Stopped for good"
+    for column in ("art_start_date", "registration_date", "arv_drugs_stopped"):
+        assert plain[1][column] is not None and renamed[1][column] == plain[1][column]
+
+
+def test_a_start_date_is_read_whole_or_not_at_all(spark):
+    t = Tiny(spark)
+    for pid, text in ((1, "1998-05-06"), (2, "1998-05-06 10:00:00"), (3, "1998-05-06x"), (4, "1998-05-060"), (5, "1998-05-06 junk")):
+        t.patient(pid).obs(pid, pid, tiny.STARTED, "2000-03-01 09:00:00", tiny.REGISTRATION, value_text=text)
+    r, _ = built(t)
+    assert [str(r[p].art_start_date) for p in range(1, 6)] == ["1998-05-06", "1998-05-06", "None", "None", "None"]

@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarterfold.operators import rows
-from quarterfold.operators.lookups import checked_broadcast, concept_roles, fits
+from quarterfold.operators.lookups import concept_roles
 from quarterfold.sources.select import extract_person_closure, list_reference_tables, page_patients
 from quarterfold.sources.sinks import split_valid, upsert, without_rejected
 from quarterfold.sources.tables import Source, read_table
@@ -31,14 +31,6 @@ def test_flags_are_false_rather_than_unknown(spark):
     assert got == {1: True, 2: False}
 
 
-def test_broadcast_only_within_the_bound(spark):
-    df = spark.range(100).withColumnRenamed("id", "k")
-    assert fits(df, 100) and not fits(df, 99)
-    plan = lambda dim: df.join(dim, "k")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan(checked_broadcast(df.withColumn("v", F.lit(1)), max_rows=100))
-    assert "strategy=broadcast" not in plan(checked_broadcast(df.withColumn("v", F.lit(1)), max_rows=99))
-
-
 def test_concept_roles_collect_all_names_of_a_concept(spark):
     names = spark.createDataFrame([(1, "Yes "), (1, "affirmative"), (2, "NO"), (3, "other")], "concept_id long, name string")
     got = {r.concept_id: r.roles for r in concept_roles(names, {"yes": ("YES",), "also": ("Affirmative",), "no": ("no",)}).collect()}
