@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  used as pa.compute
 
-PIECE = 4 << 20  # bytes of text worked on at a time; a longer text is a piece of its own
+PIECE = 1 << 20  # bytes of text worked on at a time; a longer text is a piece of its own
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 _powers: dict[tuple[int, bool], np.ndarray] = {}
 
@@ -64,7 +64,7 @@ class Words:
         lengths = self.ends - self.starts
         bytes_ = self.data[inside].astype(np.uint64) + np.uint64(1)
         begin = np.cumsum(lengths) - lengths
-        within = np.arange(len(bytes_)) - np.repeat(begin, lengths)
+        within = np.arange(len(bytes_), dtype=np.int32) - np.repeat(begin.astype(np.int32), lengths)
         return mixed(np.add.reduceat(bytes_ * powers(BASES[0], longest)[within], begin))
 
 
