@@ -35,6 +35,7 @@ RARE = 8
 HELD = 6_000_000  # tokens that a task holds to find frequent ones by itself; beyond it begins anew
 OUT = 1 << 16
 SKETCH = 512  # bits
+HALVED = 16  # cells whose halves are indexed for sets with empty cells
 
 
 @dataclass(frozen=True)
@@ -139,6 +140,41 @@ def _regions(rule: Rule):
     return run
 
 
+def _keys(tokens: np.ndarray, at: np.ndarray, cells: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each cell the key of all its tokens, and whether it has any. at: the cell of each token."""
+    sums = np.zeros(cells, dtype=np.uint64)
+    np.add.at(sums, at, wordhash.mixed(tokens + np.uint64(1)))
+    keys = wordhash.mixed(sums + wordhash.mixed(np.arange(cells, dtype=np.uint64) * np.uint64(977) + np.uint64(seed)))
+    return keys, np.bincount(at, minlength=cells) > 0
+
+
+def combinations(rule: Rule, s: np.ndarray) -> np.ndarray:
+    """Keys of which two linked sets share one or more.
+
+    Of ``parts`` cells two linked sets differ in all but one at most. A cell that is empty in both is a key of no use, as
+    very many sets share it. If all they agree in is empty, every other cell differs in a token, most of them in just one,
+    so that one half of such a cell agrees. Sets with an empty cell therefore index the halves of the first HALVED cells;
+    only if so many halves are empty that all those agreeing might be, which few tokens bring about, the empty cells too.
+    """
+    found = []
+    for level in (rule.level(len(s)), rule.level(len(s)) + 1):
+        p = rule.parts(level)
+        at = ((s >> np.uint64(32)) % np.uint64(p)).astype(np.int64)
+        keys, filled = _keys(s, at, p, level)
+        found.append(keys[filled])
+        if filled.all():
+            continue
+        m = min(p, HALVED)
+        some = at < m
+        halves, half_filled = _keys(s[some], at[some] * 2 + (s[some] & np.uint64(1)).astype(np.int64), 2 * m, level + 500)
+        found.append(halves[half_filled])
+        # Cells before m that differ have m + 1 - (empty cells after m) agreeing halves at least, beyond one for each cell
+        # that is empty in both; 2 * m - filled halves are empty.
+        if m + 1 - int((~filled[m:]).sum()) <= 2 * m - int(half_filled.sum()):
+            found.append(keys[~filled])
+    return np.concatenate(found)
+
+
 def _measured(rule: Rule):
     """Whole sets and their sketches; combinations for classes that need them."""
     def run(batches):
@@ -148,21 +184,13 @@ def _measured(rule: Rule):
                 if (c := class_of(s)) != (part.column("c")[i].as_py(), part.column("c2")[i].as_py()):
                     continue
                 bits = np.bincount((s % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
-                keys = []
-                if part.column("frequent")[i].as_py():
-                    level = rule.level(len(s))
-                    for lv in (level, level + 1):
-                        p = rule.parts(lv)
-                        at = ((s >> np.uint64(32)) % np.uint64(p)).astype(np.int64)
-                        sums = np.zeros(p, dtype=np.uint64)
-                        np.add.at(sums, at, wordhash.mixed(s + np.uint64(1)))
-                        keys.append(wordhash.mixed(sums + wordhash.mixed(np.arange(p, dtype=np.uint64) * np.uint64(977) + np.uint64(lv))))
+                keys = combinations(rule, s) if part.column("frequent")[i].as_py() else np.zeros(0, np.uint64)
                 rows["id"].append(part.column("doc_id")[i].as_py())
                 rows["c"].append(c[0])
                 rows["size"].append(len(s))
                 rows["sketch"].append(np.packbits(bits.astype(np.uint8)).view(np.int64))
                 rows["tokens"].append(s.view(np.int64))
-                rows["keys"].append(np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64))
+                rows["keys"].append(keys.view(np.int64))
             long = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows["id"], pa.int64()), pa.array(rows["c"], pa.int64()), pa.array(rows["size"], pa.int64()),

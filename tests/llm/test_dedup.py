@@ -6,6 +6,7 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from quarterfold.llm import op3_substrings, op6_exact, op7_jaccard, wordhash
@@ -113,6 +114,39 @@ def test_similarity_of_many_near_copies(spark):
         assert rows_of(got, "doc_id", "n_shingles", "component_id") == linked(rows, n, percent)
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linked_sets_share_a_combination(percent):
+    """Pairs just within the threshold, above all of few tokens, where cells are often empty."""
+    rule, r, hollow = op7_jaccard.Rule(3, percent), np.random.default_rng(percent), 0
+    for k in range(4000):
+        size = int(r.integers(2, 25 if k % 4 else 400))
+        both = r.integers(0, 2**64, size, dtype=np.uint64)
+        spare = 100 * size // percent - size  # tokens that the sets may have besides
+        left = int(r.integers(0, spare + 1))
+        x, y = (np.unique(np.concatenate([both, r.integers(0, 2**64, n, dtype=np.uint64)])) for n in (left, spare - left))
+        a, b = op7_jaccard.combinations(rule, x), op7_jaccard.combinations(rule, y)
+        assert len(np.intersect1d(a, b))
+        level = rule.level(len(x))
+        hollow += len(np.unique((x >> np.uint64(32)) % np.uint64(rule.parts(level)))) < rule.parts(level)
+    assert hollow > 100
+
+
+def test_linked_sets_agree_in_an_empty_cell_alone():
+    """Every cell that has tokens differs: found by a half of a cell, or by the empty cell."""
+    rule, r = op7_jaccard.Rule(5, 80), np.random.default_rng(1)
+    for k in range(2000):
+        size = 5 + k % 36
+        p = rule.parts(rule.level(size))
+        cells = np.sort(r.permutation(p)[: min(size // 5, p - 1)])
+        at = np.concatenate([cells, r.choice(cells, size - len(cells))]).astype(np.uint64)
+        high = at + np.uint64(p) * r.integers(0, 2**31 // p, size, dtype=np.uint64)
+        x = np.sort(high << np.uint64(32) | r.integers(0, 2**32, size, dtype=np.uint64))
+        at = (x >> np.uint64(32)) % np.uint64(p)
+        y = np.delete(x, [int(r.choice(np.flatnonzero(at == c))) for c in cells])  # one token less in each
+        assert 100 * len(y) >= 80 * len(x) and rule.level(size) - rule.level(len(y)) in (0, 1)
+        assert len(np.intersect1d(op7_jaccard.combinations(rule, x), op7_jaccard.combinations(rule, y)))
+
+
 def test_similarity_of_nothing(spark):
     assert op7_jaccard.jaccard_components(odd_documents(spark, [])).count() == 0
 
