@@ -64,23 +64,24 @@ def leaves(page: str) -> list[tuple[tuple[tuple[str, ...], ...], str, int]]:
     found: list = []
     above: list[tuple[str, ...]] = []
     parts: list[str] = []
-    linked, path = 0, None
+    linked, path, blank = 0, None, True
 
     def end() -> None:
-        nonlocal linked
+        nonlocal linked, blank
         if parts:
             text = " ".join("".join(parts).split())
             if text:
                 found.append((path, text, min(linked, len(text))))
             parts.clear()
-        linked = 0
+        linked, blank = 0, True
 
     def add(raw: str) -> None:
-        nonlocal linked, path
+        nonlocal linked, path, blank
         if raw:
             text = html.unescape(raw)
-            if not parts or path is None or not "".join(parts).strip():
+            if blank:  # a block stands where its first word does
                 path = tuple(above)
+                blank = not text.strip()
             parts.append(text)
             if any(a[0] == "a" for a in above):
                 linked += len(text.strip())
