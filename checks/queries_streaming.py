@@ -42,13 +42,30 @@ def _stream_model(spark: SparkSession, sf_dir: str) -> readmodel.ReadModel:
         rest = {n: _arriving(spark, fixtures, n, folder, 1000) for n in SPLIT_BY if n != "obs"}
         for q in upkeep.start_quarter_stream(obs, fixtures, target, trigger=ALL_NOW):
             q.awaitTermination()
-        upkeep.compact(spark, target)
+        upkeep.compact(spark, target, fixtures)
         for q in upkeep.start_report_stream(rest, fixtures, target, trigger=ALL_NOW):
             q.awaitTermination()
         _streamed[key] = target
     return upkeep.current_model(spark, _streamed[key], fixtures, AS_OF)
 
 
+def _late_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events are streamed and compacted before any visit, enrolment or order is there."""
+    fixtures = fixtures_of(spark, sf_dir)
+    late = {name for name, _ in upkeep.REFERS_TO.values()}
+
+    class Before:
+        def __getitem__(self, name: str) -> DataFrame:
+            return fixtures[name].filter("false") if name in late else fixtures[name]
+
+    target, folder = fresh_path(spark, "upkeep"), fresh_path(spark, "arriving")
+    sources = {n: _arriving(spark, fixtures, n, folder, 1000) for n in SPLIT_BY}
+    for q in upkeep.start_quarter_stream(sources, Before(), target, trigger=ALL_NOW):
+        q.awaitTermination()
+    upkeep.compact(spark, target, Before())
+    return upkeep.current_model(spark, target, fixtures, AS_OF).report
+
+
 def _by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last arrival wins; rows arrive in an order unrelated to their dates."""
     keys = {"obs": "obs_id", "patient_state": "patient_state_id", "drug_order": "order_id", "person": "person_id"}
@@ -82,6 +99,7 @@ def _status_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_patient_report": lambda s, d: _stream_model(s, d).report,
     "stream_patient_quarter": lambda s, d: _stream_model(s, d).details,
+    "stream_late_lookups": _late_lookups,
     "stream_states_once": _status_stream,
     "patient_report_by_arrival": _by_arrival,
 }

@@ -8,14 +8,21 @@ are just later versions of the same row. The state is the delta table, so no
 watermark is needed and nothing is dropped. ``compact`` folds deltas into a
 base from time to time.
 
+An event may come before the visit, enrolment or order that it refers to. Such
+rows are kept as they are, and looked up again by every reading and every
+``compact``, until what they refer to is there.
+
     <target>/deltas/source=obs/batch=0/...
+    <target>/pending/obs/batch=0/...    rows that refer to what isn't there yet
     <target>/bases/v=1/...      folded deltas
+    <target>/waiting/v=1/obs/...        rows of the folded batches that still wait
     <target>/index/v=1/...      which batches a base covers, written last
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,10 +41,29 @@ EVENTS_OF: Mapping[str, Callable[[ClinicalEvents, DataFrame], DataFrame]] = {
     "drug_order": lambda e, batch: e.drug_expiry(batch),
     "person": lambda e, batch: e.deaths(batch),
 }
+# What the rows of a source refer to: table and its key, which the source has too.
+REFERS_TO: Mapping[str, tuple[str, str]] = {
+    "obs": ("encounter", "encounter_id"),
+    "patient_state": ("patient_program", "patient_program_id"),
+    "drug_order": ("orders", "order_id"),
+}
+
+
+def _without_reference(source: str, rows: DataFrame, tables) -> DataFrame:
+    """Rows that refer to a row which isn't there yet."""
+    name, key = REFERS_TO[source]
+    return rows.filter(F.col(key).isNotNull()).join(tables[name].select(key), key, "left_anti").select(*rows.columns)
 
 
 def apply_batch(source: str, batch: DataFrame, batch_id: int, tables, target: str, ordering: Ordering = Ordering()) -> None:
-    """Writes the fold of one micro-batch. Running it again has no further effect."""
+    """Writes the fold of one micro-batch. Running it again has no further effect.
+
+    What must wait is written first: a row that is referred to and comes in between makes an event twice, which changes
+    nothing, rather than not at all.
+    """
+    if source in REFERS_TO:
+        waits = _without_reference(source, batch, tables)
+        waits.write.mode("overwrite").parquet(f"{target}/pending/{source}/batch={batch_id}")
     events = EVENTS_OF[source](ClinicalEvents(tables, ordering), batch)
     readmodel.fold(events).write.mode("overwrite").parquet(f"{target}/deltas/source={source}/batch={batch_id}")
 
@@ -96,17 +122,40 @@ def _deltas(spark: SparkSession, target: str, covered: Mapping[str, int]) -> Dat
     return deltas
 
 
-def current_quarters(spark: SparkSession, target: str) -> DataFrame:
-    """Folded quarters as of now: the newest base and the deltas after it."""
+def _pending(spark: SparkSession, target: str, version: int, covered: Mapping[str, int], upto: Mapping[str, int] | None = None) -> dict[str, DataFrame]:
+    """By source the rows that wait: those of the base, and those of the batches after it (as far as ``upto``)."""
+    found = {}
+    for source in REFERS_TO:
+        parts = []
+        if exists(spark, f"{target}/pending/{source}"):
+            rows = spark.read.parquet(f"{target}/pending/{source}").filter(F.col("batch") > covered.get(source, -1))
+            if upto is not None:
+                rows = rows.filter(F.col("batch") <= upto.get(source, -1))
+            parts.append(rows.drop("batch"))
+        if version and exists(spark, f"{target}/waiting/v={version}/{source}"):
+            parts.append(spark.read.parquet(f"{target}/waiting/v={version}/{source}"))
+        if parts:
+            found[source] = reduce(DataFrame.unionByName, parts)
+    return found
+
+
+def _found_late(pending: Mapping[str, DataFrame], tables, ordering: Ordering) -> list[DataFrame]:
+    events = ClinicalEvents(tables, ordering)
+    return [EVENTS_OF[source](events, rows).select(*FOLD_COLUMNS) for source, rows in pending.items()]
+
+
+def current_quarters(spark: SparkSession, target: str, tables, ordering: Ordering = Ordering()) -> DataFrame:
+    """Folded quarters as of now: the newest base, the deltas after it, and what waited and is found by now."""
     version, covered = _newest_base(spark, target)
-    parts = _deltas(spark, target, covered).select(*FOLD_COLUMNS)
+    parts = [_deltas(spark, target, covered).select(*FOLD_COLUMNS)]
     if version:
-        parts = parts.unionByName(spark.read.parquet(f"{target}/bases/v={version}").select(*FOLD_COLUMNS))
-    return readmodel.fold(parts)
+        parts.append(spark.read.parquet(f"{target}/bases/v={version}").select(*FOLD_COLUMNS))
+    parts += _found_late(_pending(spark, target, version, covered), tables, ordering)
+    return readmodel.fold(reduce(DataFrame.unionByName, parts))
 
 
-def compact(spark: SparkSession, target: str) -> int:
-    """Folds all deltas present into a new base; returns its version."""
+def compact(spark: SparkSession, target: str, tables, ordering: Ordering = Ordering()) -> int:
+    """Folds all deltas present, and what waited and is found by now, into a new base; returns its version."""
     version, covered = _newest_base(spark, target)
     deltas = _deltas(spark, target, covered)
     seen = deltas.groupBy("source").agg(F.max("batch").cast("bigint").alias("last_batch"))
@@ -114,10 +163,13 @@ def compact(spark: SparkSession, target: str) -> int:
     upto = F.lit(False)
     for source, batch in last.items():
         upto = upto | ((F.col("source") == source) & (F.col("batch") <= batch))
-    parts = deltas.filter(upto).select(*FOLD_COLUMNS)
+    pending = _pending(spark, target, version, covered, last)
+    for source, rows in pending.items():  # before the fold, as in apply_batch
+        _without_reference(source, rows, tables).write.mode("overwrite").parquet(f"{target}/waiting/v={version + 1}/{source}")
+    parts = [deltas.filter(upto).select(*FOLD_COLUMNS), *_found_late(pending, tables, ordering)]
     if version:
-        parts = parts.unionByName(spark.read.parquet(f"{target}/bases/v={version}").select(*FOLD_COLUMNS))
-    readmodel.fold(parts).write.mode("overwrite").parquet(f"{target}/bases/v={version + 1}")
+        parts.append(spark.read.parquet(f"{target}/bases/v={version}").select(*FOLD_COLUMNS))
+    readmodel.fold(reduce(DataFrame.unionByName, parts)).write.mode("overwrite").parquet(f"{target}/bases/v={version + 1}")
     index = spark.createDataFrame(list(last.items()), "source string, last_batch bigint")
     index.coalesce(1).write.mode("overwrite").parquet(f"{target}/index/v={version + 1}")
     return version + 1
@@ -126,7 +178,7 @@ def compact(spark: SparkSession, target: str) -> int:
 def current_model(spark: SparkSession, target: str, tables, as_of: str, ordering: Ordering = Ordering()) -> readmodel.ReadModel:
     """The read model of everything that has arrived."""
     words = ClinicalEvents(tables, ordering).words
-    return readmodel.from_quarters(current_quarters(spark, target), tables, words, as_of, ordering)
+    return readmodel.from_quarters(current_quarters(spark, target, tables, ordering), tables, words, as_of, ordering)
 
 
 def start_status_stream(

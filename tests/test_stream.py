@@ -29,14 +29,40 @@ def test_any_chunking_gives_the_batch_result(spark, tmp_path):
     for n, part in enumerate(("obs_id > 6", "obs_id BETWEEN 3 AND 7", "obs_id < 4", "obs_id BETWEEN 3 AND 7")):
         upkeep.apply_batch("obs", obs.filter(part), n, t, target)
         if n == 1:
-            assert upkeep.compact(spark, target) == 1
+            assert upkeep.compact(spark, target, t) == 1
     upkeep.apply_batch("obs", obs.filter("obs_id < 4"), 2, t, target)
     upkeep.apply_batch("patient_state", t["patient_state"], 0, t, target)
     got = upkeep.current_model(spark, target, t, AS_OF)
     assert rows(got.report) == rows(want.report) and rows(got.details) == rows(want.details)
-    before = rows(upkeep.current_quarters(spark, target))
-    assert upkeep.compact(spark, target) == 2
-    assert rows(upkeep.current_quarters(spark, target)) == before
+    before = rows(upkeep.current_quarters(spark, target, t))
+    assert upkeep.compact(spark, target, t) == 2
+    assert rows(upkeep.current_quarters(spark, target, t)) == before
+
+
+def test_what_events_refer_to_may_come_late(spark, tmp_path):
+    t, target = sample(spark), str(tmp_path / "target")
+    want = readmodel.build(t, AS_OF)
+
+    class Before:
+        """No enrolment yet, and the visits of the first three observations alone."""
+
+        def __getitem__(self, name):
+            if name == "patient_program":
+                return t[name].filter("false")
+            return t[name].join(t["obs"].filter("obs_id <= 3"), "encounter_id", "left_semi") if name == "encounter" else t[name]
+
+    upkeep.apply_batch("obs", t["obs"].filter("obs_id <= 6"), 0, Before(), target)
+    upkeep.apply_batch("patient_state", t["patient_state"], 0, Before(), target)
+    assert upkeep.compact(spark, target, Before()) == 1
+    upkeep.apply_batch("obs", t["obs"].filter("obs_id > 6"), 1, Before(), target)
+    got = upkeep.current_model(spark, target, Before(), AS_OF)
+    assert rows(got.details) != rows(want.details)
+    got = upkeep.current_model(spark, target, t, AS_OF)
+    assert rows(got.report) == rows(want.report) and rows(got.details) == rows(want.details)
+    assert upkeep.compact(spark, target, t) == 2
+    assert spark.read.parquet(f"{target}/waiting/v=2/obs").count() == 0
+    got = upkeep.current_model(spark, target, t, AS_OF)
+    assert rows(got.report) == rows(want.report) and rows(got.details) == rows(want.details)
 
 
 def test_streams_of_files(spark, tmp_path):
