@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from quarterfold.llm import (
     op1_quality, op2_shard, op3_substrings, op4_mix, op5_toxicity, op6_exact, op7_jaccard, op8_html, op9_decontaminate,
-    op10_pii, op12_pivots, op13_merkle,
+    op10_pii, op11_lines, op12_pivots, op13_merkle,
 )
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_html": op8_html.op8_html,
     "op9_decontaminate": op9_decontaminate.op9_decontaminate,
     "op10_pii": op10_pii.op10_pii,
+    "op11_lines": op11_lines.op11_lines,
     "op12_pivots": op12_pivots.op12_pivots,
     "op13_merkle": op13_merkle.op13_merkle,
 }
@@ -26,6 +27,7 @@ SQL = {
     "op4_mix": op4_mix.SQL,
     "op6_exact_dedup": op6_exact.SQL,
     "op9_decontaminate": op9_decontaminate.SQL,
+    "op11_lines": op11_lines.SQL,
     "op12_pivots": op12_pivots.SQL,
     "op13_merkle": op13_merkle.SQL,
 }
