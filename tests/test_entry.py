@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as registered
 from checks.compare import difference, duck
+from checks.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 SAMPLE = [
@@ -14,7 +15,8 @@ SAMPLE = [
 
 
 def test_every_query_has_its_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(registered.queries()) and set(registered.oracle_sql()) <= set(registered.queries())
 
 
 def test_entry_gives_the_full_report(spark):
