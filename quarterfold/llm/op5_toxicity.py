@@ -26,7 +26,7 @@ THRESHOLD = 0.3
 PRIOR, LEAST = 500.0, 0.5  # the prior's weight shared out like the corpus, and what every word gets of it besides
 SURE, STRONG = 4.0, 2.0  # least log-odds, in standard errors and as they are
 STEMS = (3, 4, 5)  # letters of a word's beginning, looked at after the whole word, longest first
-MEMO = 1 << 20  # words whose score a task remembers at a time
+MEMO = 1 << 17  # words whose score a task remembers at a time
 _WORD = re.compile(r"[^\W_]+")
 
 

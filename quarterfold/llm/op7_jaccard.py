@@ -198,18 +198,6 @@ def _measured(rule: Rule):
     return run
 
 
-def _checked(rule: Rule):
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                x, y = np.asarray(x.values), np.asarray(y.values)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= rule.percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-    return run
-
-
 def _near(rule: Rule, x: str, y: str) -> Column:
     """Whether sizes and sketches allow a link. Sketches differ in no more bits than the sets in tokens."""
     sizes = F.col(f"{x}.size") + F.col(f"{y}.size")
@@ -233,7 +221,7 @@ def links(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
         described.where("size > 0 AND doc_id IS NOT NULL").groupBy("c", "c2").agg(F.min("doc_id").alias("id"), F.first("size").alias("size")),
         "classes")
 
-    region = rows.where("doc_id IS NOT NULL").mapInArrow(_regions(rule), "token long, c long, n int")
+    region = written(rows.where("doc_id IS NOT NULL").mapInArrow(_regions(rule), "token long, c long, n int"), "region")
     asked = region.where("n > 0").repartition("token").groupBy("token", "c").agg(F.max("n").alias("n"))
     total = F.sum("n").over(W.partitionBy("token"))
     counted = asked.withColumn("total", total).where("total > 1").select("token", "c", (F.col("total") > RARE).alias("often"))
@@ -278,7 +266,10 @@ def links(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     def verified(p: DataFrame) -> DataFrame:
         p = p.select("a", "b").join(measured.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a")
         p = p.join(measured.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b")
-        return written(p.select("a", "b", "x", "y").mapInArrow(_checked(rule), "a long, b long"), "linked")
+        # in the JVM: a row at a time, however long the sets are
+        both = F.size(F.array_intersect("x", "y"))
+        linked = both * 100 >= (F.size("x") + F.size("y") - both) * rule.percent
+        return written(p.where(linked).select("a", "b"), "linked")
 
     def apart(p: DataFrame, found: DataFrame) -> DataFrame:
         """Pairs that no component connects."""
