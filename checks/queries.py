@@ -145,6 +145,8 @@ SQL: dict[str, str] = {
     **sql_rules.RULE_SQL,
     **sql_migration.MIGRATION_SQL,
     "stream_patient_report": sql_readmodel.read_model("SELECT * FROM p"),
+    "stream_updates_report": sql_readmodel.read_model("SELECT * FROM p"),
+    "stream_updates_quarter": sql_readmodel.read_model("SELECT * FROM d"),
     "stream_late_lookups": sql_readmodel.read_model("SELECT * FROM p"),
     "stream_patient_quarter": sql_readmodel.read_model("SELECT * FROM d"),
     "patient_report_by_arrival": sql_readmodel.by_arrival("SELECT * FROM p"),

@@ -12,7 +12,7 @@ from quarterfold.fixtures import Fixtures, fixtures_of
 from quarterfold.plans import migration, readmodel
 from quarterfold.plans.events import Ordering
 from quarterfold.sources.scratch import fresh_path
-from quarterfold.streaming import upkeep
+from quarterfold.streaming import store, upkeep
 
 ALL_NOW = {"availableNow": True}
 FILES_PER_BATCH = 12
@@ -43,7 +43,7 @@ def _stream_model(spark: SparkSession, sf_dir: str) -> readmodel.ReadModel:
         for q in upkeep.start_quarter_stream(obs, fixtures, target, trigger=ALL_NOW):
             q.awaitTermination()
         upkeep.compact(spark, target, fixtures)
-        for q in upkeep.start_report_stream(rest, fixtures, target, trigger=ALL_NOW):
+        for q in upkeep.start_quarter_stream(rest, fixtures, target, trigger=ALL_NOW):
             q.awaitTermination()
         _streamed[key] = target
     return upkeep.current_model(spark, _streamed[key], fixtures, AS_OF)
@@ -66,6 +66,46 @@ def _late_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upkeep.current_model(spark, target, fixtures, AS_OF).report
 
 
+# What an earlier state of a row said, by table: values that the read model would show.
+EARLIER = {
+    "obs": {"obs_datetime": "obs_datetime + INTERVAL 100 DAYS", "value_coded": "coalesce(value_coded, 0L) + 1", "value_text": "'9Z'"},
+    "person": {"dead": "CAST(1 AS SMALLINT)", "death_date": "TIMESTAMP_NTZ'2001-01-01 00:00:00'", "gender": "'?'"},
+    "drug_order": {"quantity": "quantity * 7"},
+}
+_stored: dict[tuple[str, str], store.PatientStore] = {}
+
+
+def _earlier(table: str, rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: F.expr(e).cast(rows.schema[c].dataType) for c, e in EARLIER[table].items()})
+
+
+def _stored_model(spark: SparkSession, sf_dir: str) -> readmodel.ReadModel:
+    """Rows arrive in earlier states, then as they are, then once more in states older still; the rest is loaded first."""
+    fixtures = fixtures_of(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        made = store.PatientStore(spark, fresh_path(spark, "store"), fixtures, AS_OF, "ver", buckets=16)
+        first, streams, folder = {}, {}, fresh_path(spark, "arriving")
+        for name in store.TABLES:
+            rows, id_column = fixtures[name].withColumn("ver", F.lit(2)), store.TABLES[name][0]
+            if name not in EARLIER:
+                first[name] = rows
+                continue
+            updated = rows.filter(F.col(id_column) % 5 == 0)
+            first[name] = _earlier(name, updated).unionByName(rows.filter(F.col(id_column) % 5 != 0))
+            late = _earlier(name, rows.filter(F.col(id_column) % 7 == 0)).withColumn("ver", F.lit(1))
+            for wave, part in enumerate((updated.withColumn("ver", F.lit(3)), late)):
+                part.coalesce(1).write.parquet(f"{folder}/{name}/wave={wave}")
+            stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+            streams[name] = stream.parquet(f"{folder}/{name}/wave=*")
+        made.load(first)
+        for q in store.start_report_stream(made, streams, ALL_NOW):
+            q.awaitTermination()
+        made.vacuum()
+        _stored[key] = made
+    return _stored[key].model()
+
+
 def _by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last arrival wins; rows arrive in an order unrelated to their dates."""
     keys = {"obs": "obs_id", "patient_state": "patient_state_id", "drug_order": "order_id", "person": "person_id"}
@@ -100,6 +140,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_patient_report": lambda s, d: _stream_model(s, d).report,
     "stream_patient_quarter": lambda s, d: _stream_model(s, d).details,
     "stream_late_lookups": _late_lookups,
+    "stream_updates_report": lambda s, d: _stored_model(s, d).report,
+    "stream_updates_quarter": lambda s, d: _stored_model(s, d).details,
     "stream_states_once": _status_stream,
     "patient_report_by_arrival": _by_arrival,
 }

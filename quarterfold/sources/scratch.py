@@ -30,3 +30,9 @@ def exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder or file is there, on whatever file system the path names."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a folder that this library wrote, if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -90,14 +90,6 @@ def start_quarter_stream(
     return started
 
 
-def start_report_stream(
-    sources: Mapping[str, DataFrame], tables, target: str, ordering: Ordering = Ordering(),
-    trigger: Mapping[str, object] | None = None,
-) -> list[StreamingQuery]:
-    """Upkeep of the per-patient table: the quarter stream, rolled up by ``current_model``."""
-    return start_quarter_stream(sources, tables, target, ordering, trigger)
-
-
 def _newest_base(spark: SparkSession, target: str) -> tuple[int, dict[str, int]]:
     """Version of the newest complete base (0: none) and the last batch it covers per source."""
     if not exists(spark, f"{target}/index"):  # nothing compacted yet
