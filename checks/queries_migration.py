@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -22,9 +22,12 @@ class Run:
     def __init__(self, spark: SparkSession, sf_dir: str, tables=None):
         self.spark, self.fixtures = spark, tables or fixtures_of(spark, sf_dir)
         self.src, self.dst = Renamed(self.fixtures, "src_"), Renamed(self.fixtures, "dst_")
-        self.persons = m.users_to_persons(self.src["users"], self.src["patient"])
         self._maps: KeyMaps | None = None
 
+    @cached_property
+    def persons(self) -> DataFrame:
+        return m.users_to_persons(self.src["users"], self.src["patient"])
+
     @property
     def maps(self) -> KeyMaps:
         if self._maps is None:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from quarterfold.operators.numbering import with_position
 
 
 def latest_per(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -38,37 +40,7 @@ def not_processed(df: DataFrame, audit: DataFrame, key: str) -> DataFrame:
     return df.join(audit.select(key), key, "left_anti")
 
 
-def flags(df: DataFrame, key: str, preds: dict[str, Column]) -> DataFrame:
-    """One boolean per key and name: does any row of the key satisfy the predicate?"""
-    return df.groupBy(key).agg(
-        *[F.coalesce(F.bool_or(p), F.lit(False)).alias(name) for name, p in preds.items()]
-    )
-
-
-def count_where(df: DataFrame, pred: Column) -> DataFrame:
-    return df.filter(pred).agg(F.count(F.lit(1)).alias("value"))
-
-
-def count_patients(df: DataFrame, pred: Column, key: str = "patient_id") -> DataFrame:
-    return df.filter(pred).select(key).distinct().agg(F.count(F.lit(1)).alias("value"))
-
-
-def sequential_ids(df: DataFrame, order_id: str, start: Column, out: str, width: int = 65_536) -> DataFrame:
-    """Numbers rows ``start, start + 1, ...`` by a unique integer id, without one global sort.
-
-    Rows are numbered inside id ranges of ``width``; the number of rows in the
-    ranges before is added from a per-range count, so no task sees more than
-    ``width`` rows.
-    """
-    ranged = df.withColumn("_range", F.floor(F.col(order_id) / width))
-    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(
-        "_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before")
-    )
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(order_id)) - 1
-    return (
-        ranged.withColumn("_inside", inside)
-        .join(offsets, "_range")
-        .withColumn(out, start + F.col("_before") + F.col("_inside"))
-        .drop("_range", "_before", "_inside")
-    )
+def sequential_ids(df: DataFrame, order_id: str, start: int, out: str, ranges: int | None = None) -> DataFrame:
+    """Numbers rows ``start, start + 1, ...`` in the order of a unique id, by counts of ranges: no task sees all rows, and
+    sparse ids make no more ranges than dense ones."""
+    return with_position(df, [order_id], out, ranges).withColumn(out, F.col(out) + start)

@@ -109,7 +109,7 @@ PROGRAM_ENROLMENT = MappingSpec(
 
 def users_to_persons(users: DataFrame, patients: DataFrame) -> DataFrame:
     """A person for every user, numbered on from the last patient: ``(user_id, person_id, ...)``."""
-    first = patients.agg((F.max("patient_id") + 1).alias("first")).scalar()
+    first = (patients.agg(F.max("patient_id")).first()[0] or 0) + 1
     return sequential_ids(users, "user_id", first, "person_id").selectExpr(
         "user_id", "person_id", "creator", "date_created", *_CHANGING, *_VOIDING,
     )

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quarterfold.operators.numbering import page
 from quarterfold.operators.rows import semi
 
 # Tables that hold records of people, so are not copied as reference data.
@@ -31,9 +32,10 @@ THROUGH = {
 
 
 def page_patients(patients: DataFrame, offset: int, n: int, newest_first: bool = False) -> DataFrame:
-    """A page of patients by creation date; equal dates go by id."""
+    """A page of patients by creation date; equal dates go by id. Patients without a date come first, or last if the newest
+    lead. Found by counts of date ranges: no task holds the rows before the page, however far on it is."""
     created = F.col("date_created").desc() if newest_first else F.col("date_created").asc()
-    return patients.orderBy(created, "patient_id").offset(offset).limit(n)
+    return page(patients, [created, F.col("patient_id")], offset, n)
 
 
 def list_reference_tables(spark: SparkSession, exclude: Iterable[str] = NOT_REFERENCE, database: str | None = None) -> list[str]:

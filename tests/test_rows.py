@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from quarterfold.operators import rows
+from quarterfold.operators.numbering import with_position_in
 from quarterfold.operators.lookups import concept_roles
 from quarterfold.sources.select import extract_person_closure, list_reference_tables, page_patients
 from quarterfold.sources.sinks import split_valid, upsert, without_rejected
@@ -19,16 +22,28 @@ def test_latest_earliest_and_any(spark):
     assert rows.latest_per(df, "k", ["t", "id"]).columns == df.columns
 
 
+def windows_of(df):
+    """Partition columns of each window of the plan."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return re.findall(r"windowspecdefinition\((.*?)(?: ASC| DESC)", plan)
+
+
 def test_sequential_ids_have_no_gaps_over_ranges(spark):
-    df = spark.range(0, 1000, 7).withColumnRenamed("id", "user_id")
-    numbered = rows.sequential_ids(df, "user_id", F.lit(50), "n", width=100).orderBy("user_id").collect()
-    assert [r.n for r in numbered] == list(range(50, 50 + len(numbered)))
+    ids = [*range(0, 1000, 7), *(10**12 * k for k in range(1, 50))]  # sparse and dense
+    df = spark.createDataFrame([(i, i) for i in ids], "user_id long, _part long")
+    got = rows.sequential_ids(df, "user_id", 50, "n", ranges=6)
+    assert [(r.user_id, r.n) for r in got.orderBy("user_id").collect()] == list(zip(sorted(ids), range(50, 50 + len(ids)), strict=True))
+    assert got.columns == ["user_id", "_part", "n"]
+    assert rows.sequential_ids(df.limit(0), "user_id", 50, "n").count() == 0
+    assert windows_of(got) and all("__part" in w for w in windows_of(got))
 
 
-def test_flags_are_false_rather_than_unknown(spark):
-    df = spark.createDataFrame([(1, None), (1, 5), (2, None)], "k int, v int")
-    got = {r.k: r.high for r in rows.flags(df, "k", {"high": F.col("v") > 3}).collect()}
-    assert got == {1: True, 2: False}
+def test_places_within_groups(spark):
+    df = spark.createDataFrame([("hot" if k % 3 else f"g{k % 5}", (k * 37) % 101, k) for k in range(300)], "g string, o int, _n int")
+    got = with_position_in(df, "g", ["o", "_n"], "i", "n", ).collect()
+    for g in {r.g for r in got}:
+        mine = sorted((r for r in got if r.g == g), key=lambda r: (r.o, r["_n"]))
+        assert [r.i for r in mine] == list(range(len(mine))) and {r.n for r in mine} == {len(mine)}
 
 
 def test_concept_roles_collect_all_names_of_a_concept(spark):
@@ -54,12 +69,26 @@ def test_rejected_rows_keep_their_reasons(spark):
 
 def test_pages_break_ties_by_id(spark):
     df = spark.createDataFrame([(3, "2000-01-01"), (1, "2000-01-01"), (2, "1999-01-01")], "patient_id int, date_created string")
-    ids = lambda out: [r.patient_id for r in out.collect()]
-    assert ids(page_patients(df, 0, 2)) == [2, 1]
-    assert ids(page_patients(df, 0, 3, newest_first=True)) == [1, 3, 2]
+    ids = lambda out: sorted(r.patient_id for r in out.collect())
+    assert ids(page_patients(df, 0, 2)) == [1, 2]
+    assert ids(page_patients(df, 0, 2, newest_first=True)) == [1, 3]
     assert ids(page_patients(df, 2, 5)) == [3]
 
 
+def test_pages_anywhere(spark):
+    days = [None if k % 50 == 0 else f"20{k % 7:02d}-01-01" for k in range(400)]
+    df = spark.createDataFrame([(k, days[k], "x") for k in range(400)], "patient_id int, date_created string, _place string")
+    for newest in (False, True):
+        key = lambda k: (days[k] is not None, days[k] or "")
+        want = sorted(range(400), key=lambda k: k)
+        want = sorted(want, key=key, reverse=newest)
+        for offset, n in ((0, 10), (5, 0), (123, 200), (395, 50), (400, 5), (9999, 1)):
+            got = page_patients(df, offset, n, newest_first=newest)
+            assert sorted(r.patient_id for r in got.collect()) == sorted(want[offset : offset + n]) and got.columns == df.columns
+    plan = page_patients(df, 300, 50)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "GlobalLimit" not in plan
+
+
 def test_closure_reaches_through_two_tables(spark):
     tables = {
         "person": spark.createDataFrame([(1,), (2,)], "person_id int"),
