@@ -31,6 +31,7 @@ from quarterfold.plans import readmodel
 from quarterfold.plans.events import SLOTS, ClinicalEvents, Ordering
 from quarterfold.plans.migration import states_from_obs
 from quarterfold.sources.scratch import exists
+from quarterfold.streaming.audit import Audit
 
 FOLD_COLUMNS = ("patient_id", "quarter_start", *SLOTS)
 INDEX_SCHEMA = "source string, last_batch bigint, v bigint"
@@ -178,19 +179,14 @@ def start_status_stream(
 ) -> StreamingQuery:
     """States from treatment-status observations, each observation once.
 
-    Every batch takes out what earlier batches have audited, then writes its
-    states and its audit rows under its own number, so a batch that is run
-    again replaces what it wrote.
+    Every batch takes out what earlier batches have audited, then writes its states and its audit rows under its own
+    number, so a batch that is run again replaces what it wrote. A batch reads only those parts of the audit that it may hit.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if exists(spark, f"{target}/audit"):
-            audit = spark.read.parquet(f"{target}/audit").filter(F.col("batch") < batch_id).select("obs_id")
-        else:  # first batch
-            audit = batch.select("obs_id").filter("false")
-        states, done = states_from_obs(batch, audit, src, dst)
+        audit = Audit(batch.sparkSession, f"{target}/audit", "obs_id")
+        states, done = states_from_obs(batch, audit.known(batch, batch_id), src, dst)
         states.write.mode("overwrite").parquet(f"{target}/states/batch={batch_id}")
-        done.write.mode("overwrite").parquet(f"{target}/audit/batch={batch_id}")
+        audit.add(done, batch_id)
 
     return (
         obs.writeStream.foreachBatch(sink)

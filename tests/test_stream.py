@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from quarterfold.plans import readmodel
 from quarterfold.streaming import upkeep
+from quarterfold.streaming.audit import Audit
 from quarterfold.streaming.store import PatientStore
 from tests import tiny
 from tests.tiny import SCHEMAS, Tiny, frame
@@ -148,3 +151,25 @@ def test_a_batch_that_broke_off_is_not_seen(spark, tmp_path, monkeypatch):
     assert rows(store.model().report) == before
     store.apply("obs", t["obs"], 0)
     same(store.model(), readmodel.build(t, AS_OF))
+
+
+# ---- the audit -------------------------------------------------------------------
+
+def test_audit_knows_every_id_and_reads_only_slots_it_may_hit(spark, tmp_path):
+    audit = Audit(spark, str(tmp_path / "audit"), "obs_id", slots=16)
+    ids = lambda a, b: spark.range(a, b).withColumnRenamed("id", "obs_id")
+    assert audit.known(ids(0, 10), 0).count() == 0
+    for batch in range(4):
+        assert audit.known(ids(1000 * batch, 1000 * batch + 1000), batch).inputFiles() == []  # all new: nothing is read
+        audit.add(ids(1000 * batch, 1000 * batch + 1000), batch)
+    audit.add(ids(3000, 4000), 3)  # run again
+    got = audit.known(ids(2990, 4010), 4)
+    assert sorted(r.obs_id for r in got.collect()) == list(range(2990, 4000))
+    assert sorted(r.obs_id for r in audit.known(ids(0, 5000), 2).collect()) == list(range(2000))
+    one = audit.known(ids(17, 18), 4)
+    assert [r.obs_id for r in one.collect()] == [17]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert any("batch#" in f and re.search(r"slot#\d+ = \d+", f) for f in re.findall(r"PartitionFilters: \[(.*?)\], ", plan))
+    assert audit.maybe(ids(10**9, 10**9 + 20000), 4).count() < 200
+    audit.add(ids(0, 0), 4)
+    assert sorted(r.obs_id for r in audit.known(ids(5, 7), 5).collect()) == [5, 6]
