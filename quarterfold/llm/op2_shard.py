@@ -2,7 +2,7 @@
 
 Rows with equal texts form an atomic group. Groups are ordered by size, largest first, then by
 digest, and cut into contiguous shards so that the largest shard is as small as this order allows:
-a binary search for the capacity, each candidate checked by filling shards greedily. Groups of one
+a binary search for the capacity, each candidate checked by filling shards greedily, and again for the rest after each cut. Groups of one
 size are interchangeable, so the order is described by how many groups have each size; there are at
 most sqrt(2 * total bytes) different sizes, which bounds what the driver holds.
 """
@@ -23,10 +23,10 @@ DIGITS = 3  # hex digits of the digest a step, when a cut falls between groups o
 BUCKETS = 1024  # of each shard, for numbering; at most SHARDS * BUCKETS rows are broadcast
 
 
-def fill(sizes: np.ndarray, counts: np.ndarray, capacity: int, shards: int) -> list[tuple[int, int]] | None:
-    """Greedy cuts (index of size, groups of it before the cut), or None if the groups don't fit."""
+def fill(sizes: np.ndarray, counts: np.ndarray, capacity: int, shards: int, start: int = 0) -> list[tuple[int, int]] | None:
+    """Greedy cuts (index of size, groups of it before the cut) of what lies ``start`` bytes on, or None if it doesn't fit."""
     ends = np.cumsum(sizes * counts)
-    total, start, cuts = int(ends[-1]), 0, []
+    total, cuts = int(ends[-1]), []
     for _ in range(shards):
         if total - start <= capacity:
             return cuts
@@ -40,14 +40,30 @@ def fill(sizes: np.ndarray, counts: np.ndarray, capacity: int, shards: int) -> l
     return None
 
 
-def smallest_capacity(sizes: np.ndarray, counts: np.ndarray, shards: int) -> tuple[int, list[tuple[int, int]]]:
-    """sizes: decreasing. The smallest capacity with which greedy filling needs ``shards`` shards at most, and its cuts."""
-    total = int((sizes * counts).sum())
-    low, high = max(-(-total // shards), int(sizes[0])), total
+def smallest_capacity(sizes: np.ndarray, counts: np.ndarray, shards: int, start: int = 0) -> int:
+    """sizes: decreasing. The smallest capacity with which greedy filling needs ``shards`` shards at most."""
+    ends = np.cumsum(sizes * counts)
+    left = int(ends[-1]) - start
+    low, high = max(-(-left // shards), int(sizes[np.searchsorted(ends, start, "right")])), left
     while low < high:
         middle = (low + high) // 2
-        low, high = (low, middle) if fill(sizes, counts, middle, shards) is not None else (middle + 1, high)
-    return low, fill(sizes, counts, low, shards)
+        low, high = (low, middle) if fill(sizes, counts, middle, shards, start) is not None else (middle + 1, high)
+    return low
+
+
+def balanced_cuts(sizes: np.ndarray, counts: np.ndarray, shards: int) -> list[tuple[int, int]]:
+    """Cuts under the smallest capacity, which is found again for what is left after each cut: no shard is larger than need
+    be, the shards after a large group share the rest evenly, and none is empty while there are groups for it."""
+    ends = np.cumsum(sizes * counts)
+    cuts, start = [], 0
+    for left in range(shards, 1, -1):
+        cut = fill(sizes, counts, smallest_capacity(sizes, counts, left, start), left, start)
+        if not cut:
+            break
+        i, taken = cut[0]
+        start = int(ends[i] - sizes[i] * counts[i]) + taken * int(sizes[i])
+        cuts.append((i, taken))
+    return cuts
 
 
 def _digests_at(groups: DataFrame, cuts: list[tuple[int, int]]) -> list[str]:
@@ -87,8 +103,8 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row of ``docs``.
 
     Size: UTF-8 bytes of the text plus 1; null counts as an empty text. Law ``bytes``: the largest
-    shard is as small as whole groups of equal texts allow; a group larger than an even share makes
-    a shard of its own size. Slots of a shard run from 0 without gaps. With fewer groups than shards
+    shard is as small as whole groups of equal texts allow, and so is the largest of those after it; a group larger than an
+    even share makes a shard of its own size. Slots of a shard run from 0 without gaps. With fewer groups than shards
     the last shards stay empty. Repeated rows are rows like others; no rows: no rows.
     """
     text = text_of("text")
@@ -101,7 +117,7 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     after = F.lit(0)
     if len(histogram):
         sizes, counts = histogram["bytes"].to_numpy("int64"), histogram["n"].to_numpy("int64")
-        _, cuts = smallest_capacity(sizes, counts, shards)
+        cuts = balanced_cuts(sizes, counts, shards)
         inside = [(int(sizes[i]), k) for i, k in cuts if 0 < k < counts[i]]
         at = dict(zip(inside, _digests_at(groups, inside), strict=True)) if inside else {}
         for i, k in cuts:

@@ -87,9 +87,25 @@ def test_smallest_capacity():
         sizes = np.array(sorted(set(groups), reverse=True))
         counts = np.array([groups.count(s) for s in sizes])
         shards = r.randrange(1, 7)
-        capacity, cuts = op2_shard.smallest_capacity(sizes, counts, shards)
-        assert capacity == brute_capacity(groups, shards)
-        assert len(cuts) < shards
+        assert op2_shard.smallest_capacity(sizes, counts, shards) == brute_capacity(groups, shards)
+        check_balance(groups, op2_shard.balanced_cuts(sizes, counts, shards), shards)
+
+
+def check_balance(groups, cuts, shards):
+    """From every shard on, the largest is as small as the order allows; none is empty while there are groups."""
+    sizes = sorted(set(groups), reverse=True)
+    at = [groups.index(sizes[i]) + k for i, k in cuts]
+    parts = [groups[a:b] for a, b in zip([0, *at], [*at, len(groups)], strict=True)]
+    assert sum(parts, []) == groups and all(parts) and len(parts) == min(shards, len(groups))
+    for i in range(len(parts)):
+        assert max(map(sum, parts[i:])) == brute_capacity(sum(parts[i:], []), shards - i)
+
+
+@pytest.mark.parametrize("groups", [[1000] + [10] * 100, [7] * 20, [7] * 16, [7] * 5, [900] + [3] * 40 + [1] * 700, [5, 4, 3, 2, 1] * 30])
+def test_shards_after_a_large_group_are_even(groups):
+    groups = sorted(groups, reverse=True)
+    sizes, counts = (np.array(x) for x in zip(*sorted(Counter(groups).items(), reverse=True), strict=True))
+    check_balance(groups, op2_shard.balanced_cuts(sizes, counts, 16), 16)
 
 
 @pytest.mark.parametrize("rows", [odd_texts(), [], [(i, "same") for i in range(40)], [(i, f"t{i}") for i in range(400)]])
@@ -109,6 +125,7 @@ def test_shards(spark, rows):
         together[t or ""] += size(t)
     if rows:
         assert max(load.values()) == brute_capacity(sorted(together.values(), reverse=True), 16)
+        assert len(load) == min(16, len(together))
 
 
 def test_exponent_meets_its_target(spark):
