@@ -30,8 +30,9 @@ class Labeller:
         p["v"], p["c"] = r.normal(0, 1 / np.sqrt(2 * hidden), 2 * hidden), np.zeros(1)
         return Labeller(p, hidden)
 
-    def _run(self, x: np.ndarray, mask: np.ndarray, d: str):
-        """x: (pages, steps, inputs). States after each step; padding leaves the state as it is."""
+    def _run(self, x: np.ndarray, mask: np.ndarray, d: str, keep: bool = True):
+        """x: (pages, steps, inputs). States after each step, and all that the gradients need of them if they are kept;
+        padding leaves the state as it is."""
         n, steps, k = x.shape[0], x.shape[1], self.hidden
         h, c = np.zeros((n, k)), np.zeros((n, k))
         pre = x @ self.p[f"w{d}"] + self.p[f"b{d}"]
@@ -43,13 +44,14 @@ class Labeller:
             m = mask[:, t : t + 1]
             c2 = f * c + i * g
             th = np.tanh(c2)
-            kept.append((t, h, c, i, f, o, g, th))
+            if keep:
+                kept.append((t, h, c, i, f, o, g, th))
             h, c = m * o * th + (1 - m) * h, m * c2 + (1 - m) * c
             out[:, t] = h
         return out, kept
 
     def logits(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        both = np.concatenate([self._run(x, mask, "f")[0], self._run(x, mask, "b")[0]], axis=2)
+        both = np.concatenate([self._run(x, mask, d, keep=False)[0] for d in "fb"], axis=2)
         return both @ self.p["v"] + self.p["c"]
 
     def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:

@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import html
 import re
+import string
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,18 +21,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterfold.llm import lstm
+from quarterfold.llm import lstm, wordhash
 from quarterfold.llm.common import table, text_of
 
 TRAINING_PAGES = 600  # about; by hash of the page's id and address
 TAGS, WORDS = 64, 16  # sizes of the hashed vectors
-TOGETHER = 64  # pages that are labelled at a time
+STEPS = 1 << 13  # leaves, with padding, that are labelled at a time, or one page
+DEEPEST, LONGEST = 200, 5000  # elements above a leaf, and leaves, of a page that is trained on
 # Names of elements and classes.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template svg math iframe object textarea select title xmp canvas audio video".split())
+RAW = frozenset("script style noscript iframe textarea title xmp".split())  # what they hold is no markup
+EMBEDDED = frozenset("template svg math object select canvas audio video".split())  # what they hold, once closed, is no text
 SELF_CLOSING = {"p": BLOCKS, "li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 MAIN = ("article", "main")
 SIDE = (
@@ -43,9 +47,13 @@ SIDE = (
     ("div", "#footer"), ("div", "#header"), ("div", "#nav"), ("div", "#menu"), ("p", ".notice"), ("p", ".ad"),
 )
 OPEN_PAGES = (("div", ".content"), ("div", ".post"), ("div", ".entry"), ("section",), ("div", "#content"), ("div",), ("main",))
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>", re.S)
+_TAG = re.compile(r"</?([A-Za-z][^\s/>]*)")
+_STOP = re.compile(r"[>\"']")
+# a tag that the page breaks off in, rather than a lone "<" in its text
+_BROKEN = re.compile(r"</?[A-Za-z][^\s<>]*(?:\s+[^\s=<>\"']+\s*=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s<>\"']*))*\s*\Z")
 _ATTRIBUTE = re.compile(r"\b(class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
+_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)  # keeps places
 _SIDE_TAGS = frozenset(s[0] for s in SIDE if len(s) == 1)
 _SIDE_NAMES = frozenset(s[1] for s in SIDE if len(s) == 2)
 
@@ -59,72 +67,173 @@ def _names(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(found)
 
 
-def leaves(page: str) -> list[tuple[tuple[tuple[str, ...], ...], str, int]]:
-    """(elements above, text, characters inside links) of each block with text, in page order."""
+class Node:
+    """An open element: its names, the elements above it by one link, and what a vector needs of all of them."""
+
+    __slots__ = ("above", "names", "bits", "depth")
+
+    def __init__(self, above: Node | None, names: tuple[str, ...]):
+        self.above, self.names = above, names
+        self.bits, self.depth = (above.bits, above.depth + 1) if above else (0, 1)
+        for name in names:
+            self.bits |= 1 << zlib.crc32(name.encode("utf-8", "replace")) % TAGS
+
+    def path(self) -> tuple[tuple[str, ...], ...]:
+        found, node = [], self
+        while node:
+            found.append(node.names)
+            node = node.above
+        return tuple(reversed(found))
+
+
+def node_of(path) -> Node | None:
+    node = None
+    for names in path:
+        node = Node(node, names)
+    return node
+
+
+def tokens(page: str) -> list[tuple[str, str, str]]:
+    """(kind, name, content): texts, and opening and closing tags. Reads every character a bounded number of times.
+
+    A ">" in a quoted attribute doesn't end a tag, unless the page would end in that tag; from there on quotes don't count.
+    What a raw element holds is left out, to its closing tag or the end of the page.
+    """
+    found: list[tuple[str, str, str]] = []
+    at = done = 0
+    last = {c: page.rfind(c) for c in ">\"'"}
+    quotes, unclosed = True, set()
+    lowered = None
+    while (at := page.find("<", at)) >= 0 and at < last[">"]:
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            end, tag = (len(page) if end < 0 else end + 3), None
+        elif page[at + 1] in "!?" or (page[at + 1] == "/" and not _TAG.match(page, at)):
+            end, tag = page.find(">", at) + 1, None
+        else:
+            tag = _TAG.match(page, at)
+            if not tag:
+                at += 1
+                continue
+            end = None
+            stop = tag.end()
+            while quotes and end is None and (m := _STOP.search(page, stop)):
+                if m[0] == ">":
+                    end = m.end()
+                else:  # a quote that nothing closes is a character like others
+                    stop = page.find(m[0], m.end()) + 1 if m.end() <= last[m[0]] else m.end()
+            if end is None:
+                quotes, end = False, page.find(">", at) + 1
+        if at > done:
+            found.append(("text", "", page[done:at]))
+        if tag:
+            name, closing = tag[1].lower(), page[at + 1] == "/"
+            found.append(("close" if closing else "open", name, page[tag.end() : end - 1]))
+            if name in RAW and not closing and not page[tag.end() : end - 1].rstrip().endswith("/"):
+                lowered = lowered or page.translate(_LOWER)
+                close = lowered.find(f"</{name}", end) if name not in unclosed else -1
+                if close < 0:
+                    unclosed.add(name)
+                    end = len(page)
+                else:
+                    end = close
+        at = done = end
+    rest = page[done:]
+    cut = rest.rfind("<")
+    if cut >= 0 and _BROKEN.match(rest, cut):
+        rest = rest[:cut]
+    if rest:
+        found.append(("text", "", rest))
+    return found
+
+
+def _embedded(found: list[tuple[str, str, str]]) -> dict[int, int]:
+    """Where each embedded element that is closed begins, and the place after its end. One that isn't closed holds nothing."""
+    opened: dict[str, list[int]] = {}
+    ends = {}
+    for i, (kind, name, _) in enumerate(found):
+        if name in EMBEDDED:
+            if kind == "open":
+                opened.setdefault(name, []).append(i)
+            elif opened.get(name):
+                ends[opened[name].pop()] = i + 1
+    return ends
+
+
+def leaves(page: str) -> list[tuple[Node | None, str, int]]:
+    """(innermost element, text, characters inside links) of each block with text, in page order."""
     found: list = []
-    above: list[tuple[str, ...]] = []
+    stack: list[Node] = []
+    count: Counter = Counter()  # open elements by tag
     parts: list[str] = []
-    linked, path, blank = 0, None, True
+    linked, at, blank = 0, None, True
 
     def end() -> None:
         nonlocal linked, blank
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                found.append((path, text, min(linked, len(text))))
+                found.append((at, text, min(linked, len(text))))
             parts.clear()
         linked, blank = 0, True
 
     def add(raw: str) -> None:
-        nonlocal linked, path, blank
-        if raw:
-            text = html.unescape(raw)
-            if blank:  # a block stands where its first word does
-                path = tuple(above)
-                blank = not text.strip()
-            parts.append(text)
-            if any(a[0] == "a" for a in above):
-                linked += len(text.strip())
-
-    at = 0
-    while (m := _TOKEN.search(page, at)) is not None:
-        add(page[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+        nonlocal linked, at, blank
+        text = html.unescape(raw)
+        if blank:  # a block stands where its first word does
+            at = stack[-1] if stack else None
+            blank = not text.strip()
+        parts.append(text)
+        if count["a"]:
+            linked += len(text.strip())
+
+    def popped() -> str:
+        tag = stack.pop().names[0]
+        count[tag] -= 1
+        return tag
+
+    all_tokens = tokens(page)
+    skips, skip_to = _embedded(all_tokens), 0
+    for i, (kind, tag, content) in enumerate(all_tokens):
+        if i < skip_to:
+            continue
+        if kind == "text":
+            add(content)
+        elif tag in EMBEDDED:
+            skip_to = skips.get(i, 0) if kind == "open" else 0
+        elif kind == "close":
+            if count[tag]:
+                while True:
+                    name = popped()
+                    if name in BLOCKS:
+                        end()
+                    if name == tag:
+                        break
+        elif tag in RAW:
             continue
-        tag = m[2].lower()
-        if m[1]:
-            if any(a[0] == tag for a in above):
-                if tag in BLOCKS or any(a[0] in BLOCKS for a in above[max(i for i, a in enumerate(above) if a[0] == tag):]):
-                    end()
-                while above.pop()[0] != tag:
-                    pass
-        elif tag in RAW and not m[3].rstrip().endswith("/"):
-            close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            at = close.end() if close else len(page)
         elif tag == "br":
             add(" ")
         elif tag not in VOID:
             if tag in BLOCKS:
                 end()
-                for i in range(len(above) - 1, -1, -1):
-                    if tag in SELF_CLOSING.get(above[i][0], ()):
-                        del above[i:]
+                for k in range(len(stack) - 1, -1, -1):
+                    if tag in SELF_CLOSING.get(stack[k].names[0], ()):
+                        while len(stack) > k:
+                            popped()
                         break
-                    if above[i][0] in BLOCKS:
+                    if stack[k].names[0] in BLOCKS:
                         break
-            above.append(_names(tag, m[3]))
+            stack.append(Node(stack[-1] if stack else None, _names(tag, content)))
+            count[tag] += 1
         elif tag in BLOCKS:
             end()
-    rest = page[at:]
-    add(rest[: rest.rfind("<")] if re.search(r"<[/!A-Za-z][^>]*\Z", rest) else rest)
     end()
     return found
 
 
-def is_main(path) -> bool:
-    """The plain rule that training pages are labelled by."""
-    inside = False
+def is_main(path, marked: bool = True) -> bool:
+    """The plain rule that training pages are labelled by; without ``marked``, no article or main element is asked for."""
+    inside = not marked
     for names in path:
         inside = inside or names[0] in MAIN
         if names[0] in _SIDE_TAGS or not _SIDE_NAMES.isdisjoint(names[1:]):
@@ -132,29 +241,24 @@ def is_main(path) -> bool:
     return inside
 
 
-def vector(path, text: str, linked: int, place: float) -> np.ndarray:
-    v = np.zeros(TAGS + WORDS + 4)
-    for names in path:
-        for name in names:
-            v[zlib.crc32(name.encode()) % TAGS] = 1
-    words = text.lower().split()
-    for w in words:
-        v[TAGS + zlib.crc32(w.encode("utf-8", "replace")) % WORDS] += 1
-    if words:
-        v[TAGS : TAGS + WORDS] /= len(words)
-    v[-4:] = np.log1p(len(text)) / 8, linked / max(len(text), 1), place, len(path) / 8
-    return v
-
-
 def vectors(found) -> np.ndarray:
-    n = max(len(found) - 1, 1)
-    return np.array([vector(p, t, a, i / n) for i, (p, t, a) in enumerate(found)]).reshape(-1, TAGS + WORDS + 4)
+    """A row for each leaf: tags and names above it, its words, length, share of links, place and depth."""
+    out, n = np.zeros((len(found), TAGS + WORDS + 4)), max(len(found) - 1, 1)
+    for i, (node, text, linked) in enumerate(found):
+        bits = node.bits if node else 0
+        out[i, :TAGS] = np.unpackbits(np.frombuffer(bits.to_bytes(TAGS // 8, "little"), dtype=np.uint8), bitorder="little")
+        words = text.lower().split()
+        for w in words:
+            out[i, TAGS + zlib.crc32(w.encode("utf-8", "replace")) % WORDS] += 1
+        out[i, TAGS : TAGS + WORDS] /= max(len(words), 1)
+        out[i, -4:] = np.log1p(len(text)) / 8, linked / max(len(text), 1), i / n, (node.depth if node else 0) / 8
+    return out
 
 
-def training_page(found, seed: int) -> tuple[np.ndarray, np.ndarray]:
+def training_page(found, seed: int, marked: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Vectors and labels of a page with further leaves of SIDE containers; every third page loses its article element."""
     r = np.random.default_rng(seed)
-    rows = [(p, t, a, is_main(p)) for p, t, a in found]
+    rows = [(p, t, a, is_main(p, marked)) for p, t, a in ((n.path() if n else (), t, a) for n, t, a in found)]
     stems = [p for p, _, _, good in rows if good] or [(("html",), ("body",))]
     texts = [t for _, t, _, _ in rows] or ["x"]
     for _ in range(int(r.integers(0, 6))):
@@ -168,44 +272,63 @@ def training_page(found, seed: int) -> tuple[np.ndarray, np.ndarray]:
     if seed % 3 == 0:
         other = OPEN_PAGES[int(r.integers(len(OPEN_PAGES)))]
         rows = [(tuple(other if n[0] in MAIN else n for n in p), t, a, good) for p, t, a, good in rows]
-    return vectors([x[:3] for x in rows]), np.array([float(x[3]) for x in rows])
+    return vectors([(node_of(p), t, a) for p, t, a, _ in rows]), np.array([float(x[3]) for x in rows])
+
+
+def _marked(found) -> bool:
+    """Whether a page says where its main text is."""
+    return any(is_main(n.path()) for n, _, _ in found if n)
 
 
 def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        xs, ys, seeds = [], [], []
+        xs, ys, seeds, marks = [], [], [], []
         for text, seed in zip(batch.column("html"), batch.column("seed"), strict=True):
-            if found := leaves(text.as_py()):
-                x, y = training_page(found, seed.as_py())
-                xs.append(x.ravel())
-                ys.append(y)
-                seeds.append(seed.as_py())
+            found = leaves(text.as_py())
+            if not found or len(found) > LONGEST or max(n.depth if n else 0 for n, _, _ in found) > DEEPEST:
+                continue
+            marks.append(_marked(found))
+            x, y = training_page(found, seed.as_py(), marks[-1])
+            xs.append(x.ravel())
+            ys.append(y)
+            seeds.append(seed.as_py())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(seeds, pa.int64()), pa.array(xs, pa.list_(pa.float64())), pa.array(ys, pa.list_(pa.float64()))], names=["seed", "x", "y"])
+            [pa.array(seeds, pa.int64()), pa.array(marks, pa.bool_()), pa.array(xs, pa.list_(pa.float64())), pa.array(ys, pa.list_(pa.float64()))],
+            names=["seed", "marked", "x", "y"])
 
 
 def train(pages: DataFrame) -> lstm.Labeller | None:
-    """Trained on about TRAINING_PAGES pages, of which only vectors come to the driver; None if there are none."""
+    """Trained on about TRAINING_PAGES pages, of which only vectors come to the driver; None if there are none.
+
+    Pages without an article or main element don't say where their main text is. They are left out; if there are no others,
+    all that isn't in a SIDE container counts as main text. Very deep or long pages are not trained on.
+    """
     seed = F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 40))
     rows = pages.select(seed.alias("seed"), text_of("html").alias("html"))
     share = min(1.0, TRAINING_PAGES / max(pages.count(), 1))
     got = rows.where(F.col("seed") < int(share * (1 << 40))).mapInArrow(
-        _prepared, "seed long, x array<double>, y array<double>").toPandas().sort_values("seed", kind="stable")
+        _prepared, "seed long, marked boolean, x array<double>, y array<double>").toPandas().sort_values("seed", kind="stable")
+    if got["marked"].any():
+        got = got[got["marked"]]
     if not len(got):
         return None
     return lstm.fit([np.asarray(x).reshape(-1, TAGS + WORDS + 4) for x in got["x"]], [np.asarray(y) for y in got["y"]])
 
 
 def labelled(model: lstm.Labeller | None, pages: list[list]) -> list[np.ndarray]:
-    """For each page which of its leaves are main text. Pages of like length go through the model together."""
+    """For each page which of its leaves are main text. Pages of like length go through the model together, as many as
+    make STEPS leaves with the padding."""
     out = [np.zeros(len(p), dtype=bool) for p in pages]
     order = sorted((i for i, p in enumerate(pages) if p), key=lambda i: len(pages[i])) if model else []
-    for k in range(0, len(order), TOGETHER):
-        group = order[k : k + TOGETHER]
-        x, mask = lstm.padded([vectors(pages[i]) for i in group], TAGS + WORDS + 4)
-        z = model.logits(x, mask)
-        for row, i in enumerate(group):
-            out[i] = z[row, : len(pages[i])] > 0
+    group: list[int] = []
+    for k, i in enumerate(order):
+        group.append(i)
+        if k + 1 == len(order) or (len(group) + 1) * len(pages[order[k + 1]]) > STEPS:
+            x, mask = lstm.padded([vectors(pages[j]) for j in group], TAGS + WORDS + 4)
+            z = model.logits(x, mask)
+            for row, j in enumerate(group):
+                out[j] = z[row, : len(pages[j])] > 0
+            group = []
     return out
 
 
@@ -213,15 +336,17 @@ def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars, n_blocks for every row of ``pages``.
 
     The text of the leaves that the model takes for main text, with character references decoded and white space inside a
-    block turned into one space, joined by an empty line. A null or empty page, or one without main text, has an empty text.
+    block turned into one space, joined by an empty line. Time and memory grow with a page's length, whatever its markup; pages
+    of very many leaves go through the model alone. What an element such as video or select holds is left out if it is closed;
+    a tag that the page breaks off in is left out. A null or empty page, or one without main text, has an empty text.
     Repeated rows are rows like others; no rows: no rows. Other columns are not looked at.
     """
     model = train(pages)
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin in range(0, batch.num_rows, 4 * TOGETHER):
-                part = batch.slice(begin, 4 * TOGETHER)
+            for begin, rows in wordhash.pieces(batch, "html"):
+                part = batch.slice(begin, rows)
                 found = [leaves(t.as_py()) for t in part.column("html")]
                 kept = [[t for (_, t, _), good in zip(p, g, strict=True) if good] for p, g in zip(found, labelled(model, found), strict=True)]
                 texts = ["\n\n".join(k) for k in kept]

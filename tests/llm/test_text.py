@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 import numpy as np
 import pytest
@@ -143,3 +144,53 @@ def test_main_text(spark):
 def test_leaves():
     found = op8_html.leaves("<p>a<b>b</b> &lt;c<p>d</div><ul><li>e<li>f</ul><textarea>x</textarea>g")
     assert [t for _, t, _ in found] == ["ab <c", "d", "e", "f", "g"]
+
+
+def texts(page):
+    return [t for _, t, _ in op8_html.leaves(page)]
+
+
+@pytest.mark.parametrize("tag", sorted(op8_html.EMBEDDED))
+def test_embedded_elements_take_nothing_else_away(tag):
+    assert texts(f"<article><p>one</p><{tag} src=x><p>two</p><p>three</p></article>") == ["one", "two", "three"]
+    assert texts(f"<p>one</p><{tag}>in<{tag}>ner</{tag}>side</{tag}><p>two</p>") == ["one", "two"]
+    assert texts(f"<p>one</{tag}> <{tag}/>more</p><{tag}>left out</{tag}>") == ["one more"]
+
+
+def test_pages_that_break_off():
+    assert texts("<p>one <two</p>") == ["one"] and texts("a < b, c <d and the rest") == ["a < b, c <d and the rest"]
+    assert texts('<p>one<a href="x') == ["one"] and texts("<p>one</") == ["one</"] and texts("<p>one<b") == ["one"]
+    assert texts('<p title="a > b">one</p><p>t"wo</p>') == ["one", 't"wo'] and texts('<a href="x>one</a><p>two</p>') == ["one", "two"]
+    assert texts("<p>one<script>x<p>y") == ["one"] and texts("<p>one<script>x</SCRIPT>two<!-- <p> --> three") == ["onetwo three"]
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a '", '<a b="', "<!--", "<!", "</", "<div>x", "<b>x", "<p><b>x", "<script>", "<video>", "</a>", "<ul><li>x", "<>\"'"])
+def test_reading_takes_time_in_proportion(piece):
+    began = time.monotonic()
+    op8_html.leaves(piece * (300_000 // len(piece)))
+    op8_html.leaves(piece * (300_000 // len(piece)) + ">" + "x</p>")
+    assert time.monotonic() - began < 10
+
+
+def test_a_page_of_very_many_leaves(spark):
+    """Labelled alone; nothing is kept of its steps."""
+    import tracemalloc
+
+    model = lstm.Labeller.new(op8_html.TAGS + op8_html.WORDS + 4, 16)
+    pages = [op8_html.leaves("<p>word</p>" * n) for n in (100_000, 3, 1, 0, 500)]
+    tracemalloc.start()
+    assert [len(x) for x in op8_html.labelled(model, pages)] == [100_000, 3, 1, 0, 500]
+    assert tracemalloc.get_traced_memory()[1] < 500e6
+    tracemalloc.stop()
+
+
+def test_pages_without_an_article_are_no_lesson(spark):
+    """Half of the pages, or all of them, have their text in another element."""
+    body = lambda k, tag: (
+        f"<html><body><nav><a href='/'>home {k}</a></nav><{tag}><h1>title {k}</h1><p>{prose(k, 30)}</p><p>{prose(k + 1, 40)}</p></{tag.split()[0]}>"
+        f"<footer>imprint {k}</footer></body></html>")
+    for share in (2, 1):
+        pages = [(k, f"u{k}", body(k, 'div class="post-body"' if k % 2 or share == 1 else "article")) for k in range(120)]
+        got = op8_html.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+        right = [r.text == f"title {r.page_id}\n\n{prose(r.page_id, 30)}\n\n{prose(r.page_id + 1, 40)}" for r in got]
+        assert sum(right) >= 114
