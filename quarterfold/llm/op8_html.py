@@ -11,10 +11,10 @@ from __future__ import annotations
 
 import html
 import re
-import string
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,23 +48,37 @@ SIDE = (
 )
 OPEN_PAGES = (("div", ".content"), ("div", ".post"), ("div", ".entry"), ("section",), ("div", "#content"), ("div",), ("main",))
 _TAG = re.compile(r"</?([A-Za-z][^\s/>]*)")
+# the usual tag: looks no farther than the next "<" or ">"
+_USUAL = re.compile(r"<(/?)([A-Za-z][^\s/<>]*)((?:[^<>\"']|\"[^\"<>]*\"|'[^'<>]*')*+)>")
 _STOP = re.compile(r"[>\"']")
 # a tag that the page breaks off in, rather than a lone "<" in its text
 _BROKEN = re.compile(r"</?[A-Za-z][^\s<>]*(?:\s+[^\s=<>\"']+\s*=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s<>\"']*))*\s*\Z")
 _ATTRIBUTE = re.compile(r"\b(class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
-_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)  # keeps places
+_RAW_END = {name: re.compile(f"</{name}", re.I) for name in RAW}
 _SIDE_TAGS = frozenset(s[0] for s in SIDE if len(s) == 1)
 _SIDE_NAMES = frozenset(s[1] for s in SIDE if len(s) == 2)
 
 
-def _names(tag: str, attributes: str) -> tuple[str, ...]:
-    """The tag, and the words of its class and id."""
+def _names(tag: str, attributes: str) -> tuple[tuple[str, ...], int]:
+    """The tag, and the words of its class and id; and their bits in a vector."""
+    return _known_names(tag, attributes) if len(attributes) < 200 else _known_names.__wrapped__(tag, attributes)
+
+
+@lru_cache(4096)
+def _known_names(tag: str, attributes: str) -> tuple[tuple[str, ...], int]:
     found = [tag]
     for kind, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
         sign = "." if kind.lower() == "class" else "#"
         found += [sign + w for v in values for w in _NAME.findall(v.lower())]
-    return tuple(found)
+    return tuple(found), bits_of(found)
+
+
+def bits_of(names) -> int:
+    bits = 0
+    for name in names:
+        bits |= 1 << zlib.crc32(name.encode("utf-8", "replace")) % TAGS
+    return bits
 
 
 class Node:
@@ -72,11 +86,9 @@ class Node:
 
     __slots__ = ("above", "names", "bits", "depth")
 
-    def __init__(self, above: Node | None, names: tuple[str, ...]):
+    def __init__(self, above: Node | None, names: tuple[str, ...], bits: int):
         self.above, self.names = above, names
-        self.bits, self.depth = (above.bits, above.depth + 1) if above else (0, 1)
-        for name in names:
-            self.bits |= 1 << zlib.crc32(name.encode("utf-8", "replace")) % TAGS
+        self.bits, self.depth = (above.bits | bits, above.depth + 1) if above else (bits, 1)
 
     def path(self) -> tuple[tuple[str, ...], ...]:
         found, node = [], self
@@ -89,7 +101,7 @@ class Node:
 def node_of(path) -> Node | None:
     node = None
     for names in path:
-        node = Node(node, names)
+        node = Node(node, names, bits_of(names))
     return node
 
 
@@ -103,20 +115,22 @@ def tokens(page: str) -> list[tuple[str, str, str]]:
     at = done = 0
     last = {c: page.rfind(c) for c in ">\"'"}
     quotes, unclosed = True, set()
-    lowered = None
     while (at := page.find("<", at)) >= 0 and at < last[">"]:
-        if page.startswith("<!--", at):
+        closing = name = ""
+        if quotes and (m := _USUAL.match(page, at)):
+            closing, name, content = m.groups()
+            end = m.end()
+        elif page.startswith("<!--", at):
             end = page.find("-->", at + 4)
-            end, tag = (len(page) if end < 0 else end + 3), None
+            end = len(page) if end < 0 else end + 3
         elif page[at + 1] in "!?" or (page[at + 1] == "/" and not _TAG.match(page, at)):
-            end, tag = page.find(">", at) + 1, None
+            end = page.find(">", at) + 1
         else:
             tag = _TAG.match(page, at)
             if not tag:
                 at += 1
                 continue
-            end = None
-            stop = tag.end()
+            end, stop = None, tag.end()
             while quotes and end is None and (m := _STOP.search(page, stop)):
                 if m[0] == ">":
                     end = m.end()
@@ -124,19 +138,17 @@ def tokens(page: str) -> list[tuple[str, str, str]]:
                     stop = page.find(m[0], m.end()) + 1 if m.end() <= last[m[0]] else m.end()
             if end is None:
                 quotes, end = False, page.find(">", at) + 1
+            closing, name, content = page[at + 1] == "/", tag[1], page[tag.end() : end - 1]
         if at > done:
             found.append(("text", "", page[done:at]))
-        if tag:
-            name, closing = tag[1].lower(), page[at + 1] == "/"
-            found.append(("close" if closing else "open", name, page[tag.end() : end - 1]))
-            if name in RAW and not closing and not page[tag.end() : end - 1].rstrip().endswith("/"):
-                lowered = lowered or page.translate(_LOWER)
-                close = lowered.find(f"</{name}", end) if name not in unclosed else -1
-                if close < 0:
+        if name:
+            name = name.lower()
+            found.append(("close" if closing else "open", name, content))
+            if name in RAW and not closing and not content.rstrip().endswith("/"):
+                close = _RAW_END[name].search(page, end) if name not in unclosed else None
+                end = close.start() if close else len(page)
+                if not close:
                     unclosed.add(name)
-                    end = len(page)
-                else:
-                    end = close
         at = done = end
     rest = page[done:]
     cut = rest.rfind("<")
@@ -223,7 +235,7 @@ def leaves(page: str) -> list[tuple[Node | None, str, int]]:
                         break
                     if stack[k].names[0] in BLOCKS:
                         break
-            stack.append(Node(stack[-1] if stack else None, _names(tag, content)))
+            stack.append(Node(stack[-1] if stack else None, *_names(tag, content)))
             count[tag] += 1
         elif tag in BLOCKS:
             end()
