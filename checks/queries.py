@@ -145,6 +145,14 @@ SQL: dict[str, str] = {
     **sql_rules.RULE_SQL,
     **sql_migration.MIGRATION_SQL,
     "stream_patient_report": sql_readmodel.read_model("SELECT * FROM p"),
+    "append_by_batch": sql_readmodel.with_tables(["obs"]) + "SELECT obs_id, person_id, concept_id, value_coded FROM fx_obs",
+    "copied_set": sql_readmodel.with_tables(["patient", "person"]) + """
+        SELECT patient_id, CASE WHEN patient_id % 10 <> 0 THEN CAST(pa.date_created AS DATE) END AS date_created, gender
+        FROM fx_patient pa JOIN fx_person pe ON person_id = patient_id""",
+    "export_null_text": sql_readmodel.with_tables(["obs"]) + """
+        SELECT obs_id, coalesce(CAST(value_coded AS VARCHAR), 'NULL') AS value_coded,
+          coalesce(CAST(CAST(trunc(value_numeric) AS BIGINT) AS VARCHAR), 'NULL') AS value_numeric, coalesce(value_text, 'NULL') AS value_text
+        FROM fx_obs""",
     "stream_updates_report": sql_readmodel.read_model("SELECT * FROM p"),
     "stream_updates_quarter": sql_readmodel.read_model("SELECT * FROM d"),
     "stream_late_lookups": sql_readmodel.read_model("SELECT * FROM p"),

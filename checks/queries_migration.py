@@ -13,7 +13,9 @@ from quarterfold.operators.mapping import KeyMaps, remap_actor
 from quarterfold.plans import migration as m
 from quarterfold.sources.maps import load_map
 from quarterfold.sources.select import extract_person_closure, page_patients
-from quarterfold.sources.sinks import split_valid, upsert, without_rejected
+from quarterfold.sources.scratch import fresh_path
+from quarterfold.sources.sinks import append, appended, export_tables, split_valid, upsert, without_rejected
+from quarterfold.sources.tables import Source, copy_tables, read_copied
 
 
 class Run:
@@ -85,6 +87,35 @@ def _upsert_reset(r: Run) -> DataFrame:
     return upsert(existing, batch.select("relationship_id", "person_a", "relationship"), "relationship_id", reset=("person_a",))
 
 
+def _append(r: Run) -> DataFrame:
+    """Observations in three batches, the second of which is run again."""
+    obs, path = r.fixtures["obs"].select("obs_id", "person_id", "concept_id", "value_coded"), fresh_path(r.spark, "appended")
+    for number in (0, 1, 1, 2):
+        append(obs.filter(F.col("obs_id") % 3 == number), path, number)
+    return appended(r.spark, path, obs.schema)
+
+
+def _copied(r: Run) -> DataFrame:
+    """Patients of a source that has zero dates for missing ones, copied as a set with the persons."""
+    at, target = fresh_path(r.spark, "source"), fresh_path(r.spark, "copied")
+    patients = r.fixtures["patient"].select("patient_id", F.col("date_created").cast("date").alias("date_created"))
+    zero = F.when(F.col("patient_id") % 10 == 0, "0000-00-00 00:00:00").otherwise(F.col("date_created").cast("string"))
+    patients.withColumn("date_created", zero).write.parquet(f"{at}/patient")
+    r.fixtures["person"].select("person_id", "gender").write.parquet(f"{at}/person")
+    copy_tables(r.spark, Source(path=at), ["patient", "person"], target, {"patient": patients.schema})
+    persons = read_copied(r.spark, target, "person").withColumnRenamed("person_id", "patient_id")
+    return read_copied(r.spark, target, "patient").join(persons, "patient_id")
+
+
+def _exported_nulls(r: Run) -> DataFrame:
+    """Observations written as text with a mark for missing values, and read back as it stands."""
+    path = fresh_path(r.spark, "export")
+    obs = r.fixtures["obs"].select("obs_id", "value_coded", "value_numeric", "value_text")
+    obs = obs.withColumn("value_numeric", F.col("value_numeric").cast("bigint"))
+    export_tables(["obs"], {"obs": obs}.__getitem__, path, "NULL")
+    return r.spark.read.csv(f"{path}/obs", header=True, schema="obs_id bigint, value_coded string, value_numeric string, value_text string")
+
+
 STEPS: dict[str, Callable[[Run], DataFrame]] = {
     "mig_users_to_persons": lambda r: r.persons,
     "mig_user_persons": lambda r: m.repoint_users(r.src["users"], r.persons, r.maps)["person"],
@@ -130,6 +161,9 @@ STEPS: dict[str, Callable[[Run], DataFrame]] = {
     "upsert_reset_owner": _upsert_reset,
     "person_closure": _closure,
     "audit_replay": _audit_replay,
+    "append_by_batch": _append,
+    "copied_set": _copied,
+    "export_null_text": _exported_nulls,
 }
 
 

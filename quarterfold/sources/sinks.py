@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from quarterfold.operators.rows import any_per
 
@@ -31,9 +32,16 @@ def write_upsert(target: DataFrame, batch: DataFrame, key: str, path: str, order
     upsert(target, batch, key, order).write.mode("error").parquet(path)
 
 
-def append(batch: DataFrame, path: str) -> None:
-    """Adds rows without looking at keys."""
-    batch.write.mode("append").parquet(path)
+def append(batch: DataFrame, path: str, number: int) -> None:
+    """Adds the rows of a numbered batch without looking at keys. A batch that is run again replaces what it wrote, so
+    every batch is in the table once; ``appended`` reads it."""
+    batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+
+def appended(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows of all batches."""
+    rows = spark.read.schema(StructType([*schema.fields, StructField("batch", LongType())])).parquet(path)
+    return rows.drop("batch")
 
 
 def split_valid(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:

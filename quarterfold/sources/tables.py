@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, StringType, StructType, TimestampNTZType, TimestampType
 
+from quarterfold.sources.scratch import exists
+
 
 @dataclass(frozen=True)
 class Source:
@@ -28,8 +30,8 @@ def read_table(
     ``bounds``; rows outside the bounds are read too, by the outer partitions.
     """
     if source.path is not None:
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        return clean_dates(reader.parquet(f"{source.path}/{name}"), schema)
+        # with the files' own types: dates may be kept as text, which a read by ``schema`` would refuse
+        return clean_dates(spark.read.parquet(f"{source.path}/{name}"), schema)
     if source.url is None:
         raise ValueError("a source needs a path or a url")
     reader = spark.read.format("jdbc").option("url", source.url).option("dbtable", name).options(**(source.options or {}))
@@ -56,7 +58,32 @@ def clean_dates(df: DataFrame, schema: StructType | None = None) -> DataFrame:
     return df.select(*cleaned)
 
 
-def copy_tables(spark: SparkSession, source: Source, names: Iterable[str], target: str) -> None:
-    """Copies whole reference tables; each is one distributed read and write."""
+def copy_tables(
+    spark: SparkSession, source: Source, names: Iterable[str], target: str, schemas: Mapping[str, StructType] | None = None
+) -> int:
+    """Copies whole reference tables as a new version of the set; returns its number.
+
+    Each table is one distributed read and write. The manifest is written last, so readers see the old set until the new
+    one is whole, and a copy that broke off leaves the old one.
+    """
+    names, version = list(names), (_copied_version(spark, target) or 0) + 1
     for name in names:
-        read_table(spark, source, name).write.mode("overwrite").parquet(f"{target}/{name}")
+        table = read_table(spark, source, name, (schemas or {}).get(name))
+        table.write.mode("overwrite").parquet(f"{target}/v={version}/{name}")
+    manifest = spark.createDataFrame([(n,) for n in names], "name string").coalesce(1)
+    manifest.write.mode("overwrite").parquet(f"{target}/manifest/v={version}")
+    return version
+
+
+def _copied_version(spark: SparkSession, target: str) -> int | None:
+    if not exists(spark, f"{target}/manifest"):
+        return None
+    return spark.read.schema("name string, v int").parquet(f"{target}/manifest").agg(F.max("v")).first()[0]
+
+
+def read_copied(spark: SparkSession, target: str, name: str) -> DataFrame:
+    """A table of the newest complete copy."""
+    version = _copied_version(spark, target)
+    if version is None:
+        raise ValueError(f"nothing is copied to {target}")
+    return spark.read.parquet(f"{target}/v={version}/{name}")

@@ -30,7 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quarterfold.plans import readmodel
 from quarterfold.plans.events import SLOTS, ClinicalEvents, Ordering
 from quarterfold.plans.migration import states_from_obs
-from quarterfold.sources.scratch import exists
+from quarterfold.sources.scratch import delete, exists
 from quarterfold.streaming.audit import Audit
 
 FOLD_COLUMNS = ("patient_id", "quarter_start", *SLOTS)
@@ -165,9 +165,30 @@ def compact(spark: SparkSession, target: str, tables, ordering: Ordering = Order
     readmodel.fold(reduce(DataFrame.unionByName, parts)).write.mode("overwrite").parquet(f"{target}/bases/v={version + 1}")
     index = spark.createDataFrame(list(last.items()), "source string, last_batch bigint")
     index.coalesce(1).write.mode("overwrite").parquet(f"{target}/index/v={version + 1}")
+    _remove_covered(spark, target, version, covered)
     return version + 1
 
 
+def _remove_covered(spark: SparkSession, target: str, version: int, covered: Mapping[str, int]) -> None:
+    """Removes what neither the newest base nor the one before it needs, so that a reader that began before this
+    compaction still finds all it reads: batches that the base before had folded, but for the last, and the bases before."""
+    removed = _removed(spark, target)
+    for source, last in covered.items():
+        for batch in range(removed.get(source, 0), last):
+            delete(spark, f"{target}/deltas/source={source}/batch={batch}")
+            delete(spark, f"{target}/pending/{source}/batch={batch}")
+    if version:
+        delete(spark, f"{target}/bases/v={version - 1}")
+        delete(spark, f"{target}/waiting/v={version - 1}")
+
+
+def _removed(spark: SparkSession, target: str) -> dict[str, int]:
+    """By source the batch before which an earlier compaction removed all."""
+    index = spark.read.schema(INDEX_SCHEMA).parquet(f"{target}/index")
+    newest = index.agg(F.max("v")).first()[0]
+    return _by_source(index.filter(F.col("v") == newest - 2).select("source", "last_batch"))
+
+
 def current_model(spark: SparkSession, target: str, tables, as_of: str, ordering: Ordering = Ordering()) -> readmodel.ReadModel:
     """The read model of everything that has arrived."""
     words = ClinicalEvents(tables, ordering).words

@@ -2,14 +2,16 @@ from __future__ import annotations
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quarterfold.operators import rows
 from quarterfold.operators.numbering import with_position_in
 from quarterfold.operators.lookups import concept_roles
 from quarterfold.sources.select import extract_person_closure, list_reference_tables, page_patients
 from quarterfold.sources.sinks import split_valid, upsert, without_rejected
-from quarterfold.sources.tables import Source, read_table
+from quarterfold.sources.tables import Source, copy_tables, read_copied, read_table
 from tests.tiny import frame
 
 
@@ -122,3 +124,18 @@ def test_zero_dates_become_null(spark, tmp_path):
     got = clean_dates(raw, StructType().add("id", LongType()).add("d", DateType())).orderBy("id").collect()
     assert [str(r.d) for r in got] == ["None", "2000-02-03", "None"]
     assert read_table(spark, Source(path=str(tmp_path)), "t").count() == 3
+
+
+def test_a_copy_that_broke_off_leaves_the_old_set(spark, tmp_path):
+    source, target = Source(path=f"{tmp_path}/source"), f"{tmp_path}/copy"
+    spark.createDataFrame([(1, "0000-00-00"), (2, "2000-01-02")], "id int, d string").write.parquet(f"{tmp_path}/source/a")
+    spark.range(3).write.parquet(f"{tmp_path}/source/b")
+    with pytest.raises(ValueError):
+        read_copied(spark, target, "a")
+    assert copy_tables(spark, source, ["a", "b"], target, {"a": StructType.fromDDL("id int, d date")}) == 1
+    spark.range(9).write.mode("overwrite").parquet(f"{tmp_path}/source/b")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        copy_tables(spark, source, ["b", "missing"], target)
+    assert sorted(map(str, read_copied(spark, target, "a").collect())) == ["Row(id=1, d=None)", "Row(id=2, d=datetime.date(2000, 1, 2))"]
+    assert read_copied(spark, target, "b").count() == 3
+    assert copy_tables(spark, source, ["b"], target) == 2 and read_copied(spark, target, "b").count() == 9

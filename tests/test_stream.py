@@ -46,6 +46,24 @@ def test_any_chunking_gives_the_batch_result(spark, tmp_path):
     assert rows(upkeep.current_quarters(spark, target, t)) == before
 
 
+def test_folded_batches_are_removed(spark, tmp_path):
+    t, target = sample(spark), str(tmp_path / "target")
+    want = readmodel.build(t, AS_OF)
+    upkeep.apply_batch("patient_state", t["patient_state"], 0, t, target)
+    for n in range(6):
+        upkeep.apply_batch("obs", t["obs"].filter(f"obs_id % 6 = {n}"), n, t, target)
+        if n % 2:
+            before = upkeep.current_quarters(spark, target, t)  # planned before the compaction, read after it
+            want_before = rows(before)
+            upkeep.compact(spark, target, t)
+            assert rows(before) == want_before
+    left = {r.batch for r in spark.read.parquet(f"{target}/deltas").filter("source = 'obs'").select("batch").distinct().collect()}
+    assert left == {3, 4, 5}
+    assert upkeep.compact(spark, target, t) == 4 and upkeep.compact(spark, target, t) == 5
+    got = upkeep.current_model(spark, target, t, AS_OF)
+    assert rows(got.report) == rows(want.report) and rows(got.details) == rows(want.details)
+
+
 def test_what_events_refer_to_may_come_late(spark, tmp_path):
     t, target = sample(spark), str(tmp_path / "target")
     want = readmodel.build(t, AS_OF)
