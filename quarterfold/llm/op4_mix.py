@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quarterfold.llm.common import WORD, table, text_of, written
+from quarterfold.llm.common import WORD, free_names, table, text_of, written
 
 LATTICE = 2**20
 HALVINGS = 4  # of the interval in one job
@@ -133,14 +133,15 @@ def mixed_documents(docs: DataFrame, most_passes: float | None = MOST_PASSES, en
     mix = written(plan(rows, most_passes, entropy, budget), "mix")
     last = occurrences(rows, mix).groupBy("doc_id", "source").agg(F.max("pass").alias("_last"))
     whole = F.floor("passes").cast("int")
+    of, id_, of_id, full, time, n = free_names(docs, "_s", "_id", "_src", "_whole", "_time", "_n")
     part = written(
         last.join(mix.select(F.col("source").alias("_s"), "passes"), F.col("source").eqNullSafe(F.col("_s")))
-        .where(F.col("_last") >= whole).select(F.col("doc_id").alias("_id"), F.col("source").alias("_src")), "part")
-    asked = mix.select(F.col("source").alias("_s"), whole.alias("_whole"))
-    taken = docs.join(asked, F.col("source").eqNullSafe(F.col("_s"))).join(
-        part, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_src")), "left")
-    times = F.col("_whole") + F.col("_src").isNotNull().cast("int")
-    return taken.withColumn("_time", F.explode(F.when(times > 0, F.sequence(F.lit(1), times)))).select(*docs.columns)
+        .where(F.col("_last") >= whole).select(F.col("doc_id").alias(id_), F.col("source").alias(of_id), F.lit(1).alias(n)), "part")
+    asked = mix.select(F.col("source").alias(of), whole.alias(full))
+    taken = docs.join(asked, F.col("source").eqNullSafe(F.col(of))).join(
+        part, F.col("doc_id").eqNullSafe(F.col(id_)) & F.col("source").eqNullSafe(F.col(of_id)), "left")
+    times = F.col(full) + F.coalesce(F.col(n), F.lit(0))  # a null source is a source too
+    return taken.withColumn(time, F.explode(F.when(times > 0, F.sequence(F.lit(1), times)))).select(*docs.columns)
 
 
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

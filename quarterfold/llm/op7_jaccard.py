@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from quarterfold.llm import wordhash
-from quarterfold.llm.common import ascii_lower, table, text_of, written
+from quarterfold.llm.common import ascii_lower, free_names, table, text_of, written
 from quarterfold.llm.components import components
 
 RARE = 8
@@ -313,8 +313,9 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, all columns, without those whose component has a smaller doc_id; of repeated rows all stay."""
-    kept = jaccard_components(docs, n, percent).where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(written(kept, "gone"), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti").select(*docs.columns)
+    (name,) = free_names(docs, "_gone")
+    gone = jaccard_components(docs, n, percent).where("component_id < doc_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(written(gone, "gone"), F.col("doc_id").cast("long") == F.col(name), "left_anti").select(*docs.columns)
 
 
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

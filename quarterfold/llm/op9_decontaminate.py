@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterfold.llm.common import ascii_lower, table, text_of, written
+from quarterfold.llm.common import ascii_lower, free_names, table, text_of, written
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WIDTH = 10
@@ -126,9 +126,10 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def uncontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that hold no window of an item."""
-    hits = _hits(docs, items).select(F.col("key").alias("_key"), F.col("second").alias("_second"))
-    same = (F.xxhash64(text_of("text")) == F.col("_key")) & (F.xxhash64(text_of("text"), F.lit(1)) == F.col("_second"))
+    """The rows of ``docs``, all columns, that hold no window of an item. Null and empty texts stay, as do repeated rows."""
+    key, second = free_names(docs, "_key", "_second")
+    hits = _hits(docs, items).select(F.col("key").alias(key), F.col("second").alias(second))
+    same = (F.xxhash64(text_of("text")) == F.col(key)) & (F.xxhash64(text_of("text"), F.lit(1)) == F.col(second))
     return docs.join(hits, same, "left_anti")
 
 
