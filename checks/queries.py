@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import queries_migration, queries_streaming, sql_migration, sql_readmodel, sql_report, sql_rules
 from quarterfold.fixtures import Renamed, fixtures_of
@@ -58,6 +58,29 @@ def _all_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.report_all_quarters(spark, m.report, m.details, *YEARS)
 
 
+def periods_of_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each year with a visit, and from the first day of each quarter with one a stretch of 100 days, which overlap."""
+    days = fixtures_of(spark, sf_dir)["encounter"].selectExpr("to_date(encounter_datetime) AS day")
+    years = days.selectExpr("trunc(day, 'year') AS start_date").distinct()
+    quarters = days.selectExpr("trunc(day, 'quarter') AS start_date").distinct()
+    return years.selectExpr("start_date", "date_sub(add_months(start_date, 12), 1) AS end_date").unionByName(
+        quarters.selectExpr("start_date", "date_add(start_date, 99) AS end_date"))
+
+
+def _periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = stored_model(spark, sf_dir)
+    return report.report_periods(spark, m.report, m.details, periods_of_visits(spark, sf_dir))
+
+
+def _calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarters of the years with a registration, each with the number of patients registered."""
+    registered = stored_model(spark, sf_dir).report.selectExpr("to_date(registration_date) AS day").filter("day IS NOT NULL")
+    first, last = registered.selectExpr("min(year(day))", "max(year(day))").first()
+    per_quarter = registered.groupBy(F.expr("trunc(day, 'quarter') AS start_date")).agg(F.count("*").alias("registered"))
+    return report.calendar(spark, first, last).join(per_quarter, "start_date", "left").select(
+        "start_date", "end_date", F.coalesce("registered", F.lit(0)).alias("registered"))
+
+
 def source_tables(spark: SparkSession, sf_dir: str) -> Renamed:
     """The source side of a migration, by plain table names."""
     return Renamed(fixtures_of(spark, sf_dir), "src_")
@@ -118,6 +141,8 @@ QUERIES: dict[str, Query] = {
     "patient_quarter": lambda s, d: built_model(s, d).details,
     "cohort_report": _report,
     "cohort_report_all_quarters": _all_quarters,
+    "cohort_report_periods": _periods,
+    "report_calendar": _calendar,
     "report_header": _header,
     "report_headers": _headers,
     **{f"ind_{n}": _single(n) for n in INDICATORS},
@@ -136,6 +161,8 @@ SQL: dict[str, str] = {
     "patient_quarter": sql_readmodel.read_model("SELECT * FROM d"),
     "cohort_report": sql_report.report(*PERIOD_A, cells()),
     "cohort_report_all_quarters": sql_report.all_quarters(*YEARS),
+    "cohort_report_periods": sql_report.PERIODS,
+    "report_calendar": sql_report.CALENDAR,
     "report_header": sql_report.HEADER,
     "report_headers": sql_report.HEADERS,
     **{

@@ -140,16 +140,32 @@ def report(start: str, end: str, cells) -> str:
     return read_model("\nUNION ALL ".join(parts), _PD)
 
 
-def all_quarters(from_year: int, to_year: int) -> str:
-    quarters = ("quarters", f"""
-        SELECT CAST(s AS DATE) AS s, CAST(s + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS e
-        FROM generate_series(TIMESTAMP '{from_year}-01-01', TIMESTAMP '{to_year}-10-01', INTERVAL 3 MONTH) g(s)""")
+def _of_periods(periods: str) -> str:
+    """All figures of the periods ``(s, e)`` of a query."""
     parts = [
         f"SELECT q.s AS start_date, q.e AS end_date, '{name}' AS indicator, count(DISTINCT t.patient_id) AS value "
-        f"FROM quarters q LEFT JOIN {table} t ON {_bounded(condition, 'q.s', 'q.e')} GROUP BY q.s, q.e"
+        f"FROM periods q LEFT JOIN {table} t ON {_bounded(condition, 'q.s', 'q.e')} GROUP BY q.s, q.e"
         for name, (table, condition) in FIGURES.items()
     ]
-    return read_model("\nUNION ALL ".join(parts), _PD, quarters)
+    return read_model("\nUNION ALL ".join(parts), _PD, ("periods", periods))
+
+
+def all_quarters(from_year: int, to_year: int) -> str:
+    return _of_periods(f"""
+        SELECT CAST(s AS DATE) AS s, CAST(s + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS e
+        FROM generate_series(TIMESTAMP '{from_year}-01-01', TIMESTAMP '{to_year}-10-01', INTERVAL 3 MONTH) g(s)""")
+
+
+PERIODS = _of_periods("""
+    SELECT DISTINCT CAST(date_trunc('year', encounter_datetime) AS DATE) AS s,
+      CAST(date_trunc('year', encounter_datetime) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS DATE) AS e FROM fx_encounter
+    UNION ALL SELECT DISTINCT CAST(date_trunc('quarter', encounter_datetime) AS DATE),
+      CAST(date_trunc('quarter', encounter_datetime) + INTERVAL 99 DAY AS DATE) FROM fx_encounter""")
+CALENDAR = read_model("""
+    SELECT CAST(s AS DATE) AS start_date, CAST(s + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS end_date,
+      (SELECT count(*) FROM p WHERE date_trunc('quarter', registration_date) = s) AS registered
+    FROM generate_series((SELECT CAST(date_trunc('year', min(registration_date)) AS TIMESTAMP) FROM p),
+      (SELECT date_trunc('year', max(registration_date)) + INTERVAL 9 MONTH FROM p), INTERVAL 3 MONTH) g(s)""")
 
 
 _LABEL = """CASE WHEN date_trunc('quarter', s) = date_trunc('quarter', e)

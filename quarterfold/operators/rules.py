@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quarterfold.functions import age_years, ci
 from quarterfold.operators.lookups import concept_roles, fixed_table
@@ -96,15 +96,41 @@ def _staging_encounters(src, columns: list[str], voided_too: bool) -> DataFrame:
 
 
 def stage_members(src) -> DataFrame:
-    """Conditions that define a stage: ``(concept_id, stage, band)``."""
+    """Conditions that define a stage: ``(concept_id, peds, adult)``, the highest stage by band."""
     sets = " ".join(
         f"WHEN 'who stage {n} {band}' THEN named_struct('stage', {n}, 'band', '{band}')" for n in STAGES for band in BANDS
     )
     named = src["concept"].withColumn("_set", F.expr(f"CASE lower(rtrim(name)) {sets} END")).filter("_set IS NOT NULL")
     return (
         src["concept_set"].join(named.selectExpr("concept_id AS concept_set", "_set"), "concept_set")
-        .select("concept_id", F.col("_set.stage").alias("stage"), F.col("_set.band").alias("band"))
-        .distinct()
+        .groupBy("concept_id").agg(*[F.expr(f"max(CASE WHEN _set.band = '{b}' THEN _set.stage END) AS {b}") for b in BANDS])
+    )
+
+
+def _band(age: str) -> str:
+    return f"CASE WHEN {age} <= {CHILD_UP_TO} THEN 'peds' ELSE 'adult' END"
+
+
+def _stage(band: str) -> str:
+    """Stage by band, over the columns of ``stage_bands``."""
+    return f"coalesce(CASE {band} {' '.join(f'WHEN {b!r} THEN {b}' for b in BANDS)} END, 1)"
+
+
+def _staging_visit(src) -> DataFrame:
+    """The staging visit of each patient (the one with the lowest id)."""
+    return any_per(_staging_encounters(src, ["encounter_id"], voided_too=False), "patient_id", "encounter_id")
+
+
+def stage_bands(src) -> DataFrame:
+    """Highest stage with a confirmed condition at the staging visit, by the criteria of each band:
+    ``(patient_id, peds, adult)``. Kept once per patient, it answers for any day, on which only the band depends."""
+    yes = F.broadcast(src["concept"].filter(ci(F.col("name")) == "yes").selectExpr("concept_id AS value_coded"))
+    return (
+        src["obs"].select("patient_id", "encounter_id", "concept_id", "value_coded")
+        .join(yes, "value_coded", "left_semi")
+        .join(stage_members(src), "concept_id")
+        .join(_staging_visit(src), ["patient_id", "encounter_id"], "left_semi")
+        .groupBy("patient_id").agg(*[F.max(b).alias(b) for b in BANDS])
     )
 
 
@@ -114,21 +140,9 @@ def who_stage(src, asked: DataFrame, as_of: str) -> DataFrame:
     The highest stage with a confirmed condition at the patient's staging
     visit (the one with the lowest id), else 1.
     """
-    yes = F.broadcast(src["concept"].filter(ci(F.col("name")) == "yes").selectExpr("concept_id AS value_coded"))
-    members = stage_members(src)
-    visit = any_per(_staging_encounters(src, ["encounter_id"], voided_too=False), "patient_id", "encounter_id")
-    confirmed = (
-        src["obs"].select("patient_id", "encounter_id", "concept_id", "value_coded")
-        .join(yes, "value_coded", "left_semi")
-        .join(members, "concept_id")
-        .join(visit, ["patient_id", "encounter_id"], "left_semi")
-        .groupBy("patient_id", "band").agg(F.max("stage").alias("stage"))
-    )
-    banded = patient_ages(asked.select("patient_id", "asked"), src["patient"], "asked", as_of, "_age").withColumn(
-        "band", F.expr(f"CASE WHEN _age <= {CHILD_UP_TO} THEN 'peds' ELSE 'adult' END")
-    )
-    return banded.join(confirmed, ["patient_id", "band"], "left").select(
-        "patient_id", "band", F.coalesce("stage", F.lit(1)).alias("stage")
+    aged = patient_ages(asked.select("patient_id", "asked"), src["patient"], "asked", as_of, "_age")
+    return aged.join(stage_bands(src), "patient_id", "left").selectExpr(
+        "patient_id", f"{_band('_age')} AS band", f"{_stage(_band('_age'))} AS stage"
     )
 
 
@@ -189,37 +203,61 @@ _RULES: tuple[tuple[str, str], ...] = (
 )
 
 
-def art_eligibility_reason(src, as_of: str, compat: str = "intended") -> DataFrame:
-    """Reason for eligibility per patient: ``(patient_id, reason, reason_concept_id)``.
+def _told(src) -> DataFrame:
+    """Observations the rules read, with the roles of question and answer, and the stages that the question stands for."""
+    roles = concept_roles(src["concept"], ELIGIBILITY_ROLES)
+    asked = roles.withColumnRenamed("roles", "asked_roles").join(stage_members(src), "concept_id", "full")
+    answered = F.broadcast(roles).selectExpr("concept_id AS value_coded", "roles AS value_roles")
+    return (
+        src["obs"].select("patient_id", "encounter_id", "concept_id", "value_coded", "value_numeric", "voided")
+        .join(asked, "concept_id").join(answered, "value_coded", "left")
+    )
+
+
+# How the answers of a patient's visits combine.
+_COMBINE = {"lymphocytes": F.min}
+
+
+def _of_patients(src, told: DataFrame) -> DataFrame:
+    """Flags and stages by band of each patient, from one pass over the observations.
+
+    Rows are combined per visit first, so that only visits meet the staging visits.
+    """
+    confirmed = [f"max(CASE WHEN {_role('value_roles', 'yes')} THEN {b} END) AS {b}" for b in BANDS]
+    visits = told.groupBy("patient_id", "encounter_id").agg(*[F.expr(f) for f in (*_observed_flags(), *confirmed)])
+    staging = _staging_visit(src).withColumnRenamed("encounter_id", "_staging")
+    flags = [c for c in visits.columns if c not in ("patient_id", "encounter_id", *BANDS)]
+    return visits.join(staging, "patient_id", "left").groupBy("patient_id").agg(
+        *[_COMBINE.get(f, F.bool_or)(f).alias(f) for f in flags],
+        *[F.expr(f"max(CASE WHEN encounter_id = _staging THEN {b} END) AS {b}") for b in BANDS],
+    )
+
+
+def eligibility_cases(src, as_of: str, compat: str = "intended") -> DataFrame:
+    """Reason for eligibility and stage today: ``(patient_id, reason, reason_concept_id, stage_today)``.
 
     ``intended`` looks at the patient's own observations throughout;
     ``as_written`` keeps the conditions that were counted over all patients.
+    Patients and observations are read once each.
     """
     if compat not in ("intended", "as_written"):
         raise ValueError(f"compat must be 'intended' or 'as_written', not {compat!r}")
     as_written = compat == "as_written"
-    roles = F.broadcast(concept_roles(src["concept"], ELIGIBILITY_ROLES))
-    told = (
-        src["obs"].select("patient_id", "concept_id", "value_coded", "value_numeric", "voided")
-        .join(roles.withColumnRenamed("roles", "asked_roles"), "concept_id")
-        .join(roles.selectExpr("concept_id AS value_coded", "roles AS value_roles"), "value_coded", "left")
-    )
-    flags = [F.expr(f) for f in _observed_flags()]
-    own = told.groupBy("patient_id").agg(*flags)
+    told = _told(src)
     stagings = _staging_encounters(src, ["encounter_datetime"], voided_too=True)
     staged = stagings.groupBy("patient_id").agg(
         F.to_date(F.min("encounter_datetime")).alias("first_staging"),
         F.to_date(F.max("encounter_datetime")).alias("latest_staging"),
     )
     cases = (
-        src["patient"].select("patient_id", "gender")
+        src["patient"].select("patient_id", "gender", "birthdate", "birthdate_estimated", "date_created")
         .join(staged, "patient_id", "left")
-        .join(own, "patient_id", "left")
+        .join(_of_patients(src, told), "patient_id", "left")
         .withColumn("staged", F.col("first_staging").isNotNull())
         .withColumn("first_staging", F.coalesce("first_staging", F.lit(FIRST_STAGING_DEFAULT).cast("date")))
     )
     if as_written:
-        everybody = told.agg(*flags)
+        everybody = told.agg(*[F.expr(f) for f in _observed_flags()])
         cases = cases.withColumns({f: everybody.select(f).scalar() for f in EVERYBODYS_FLAGS}).withColumn(
             "latest_staging", stagings.agg(F.to_date(F.max("encounter_datetime"))).scalar()
         )
@@ -227,23 +265,32 @@ def art_eligibility_reason(src, as_of: str, compat: str = "intended") -> DataFra
         src["patient"].sparkSession, LYMPHOCYTE_LIMITS_AS_WRITTEN if as_written else LYMPHOCYTE_LIMITS,
         "age int, lymphocyte_limit int",
     )
-    stages = who_stage(src, cases.selectExpr("patient_id", "first_staging AS asked"), as_of)
-    cases = patient_ages(cases, src["patient"], "first_staging", as_of, "age")
-    cases = patient_ages(cases, src["patient"], "latest_staging", as_of, "_years")
-    judged = (
-        cases.join(limits, "age", "left")
-        .join(stages, "patient_id")
-        .withColumns({
-            "child": F.expr(f"coalesce(age <= {CHILD_UP_TO}, FALSE)"),
-            "months": F.expr("_years * 12"),
-            "female": F.expr(f"lower(rtrim(gender)) = 'female' AND first_staging >= DATE'{FIRST_STAGING_DEFAULT}'"),
-        })
-    )
+
+    def aged(on) -> Column:
+        return age_years(F.col("birthdate"), on, F.col("date_created"), F.col("birthdate_estimated"), as_of)
+
+    cases = cases.withColumns({
+        "age": aged(F.col("first_staging")), "_years": aged(F.col("latest_staging")),
+        "_today": aged(F.lit(as_of).cast("date")),
+    })
+    judged = cases.join(limits, "age", "left").withColumns({
+        "band": F.expr(_band("age")),
+        "stage": F.expr(_stage(_band("age"))),
+        "stage_today": F.expr(_stage(_band("_today"))),
+        "child": F.expr(f"coalesce(age <= {CHILD_UP_TO}, FALSE)"),
+        "months": F.expr("_years * 12"),
+        "female": F.expr(f"lower(rtrim(gender)) = 'female' AND first_staging >= DATE'{FIRST_STAGING_DEFAULT}'"),
+    })
     arms = " ".join(f"WHEN {condition} THEN {reason}" for condition, reason in _RULES)
-    reasons = judged.withColumn("reason", F.expr(f"CASE {arms} END")).select("patient_id", "stage", "reason")
+    reasons = judged.withColumn("reason", F.expr(f"CASE {arms} END")).select("patient_id", "reason", "stage_today")
     ids = src["concept"].groupBy(ci(F.col("name")).alias("_key")).agg(F.min("concept_id").alias("reason_concept_id"))
     return (
         reasons.withColumn("_key", ci(F.col("reason")))
         .join(ids, "_key", "left")
-        .select("patient_id", "reason", "reason_concept_id")
+        .select("patient_id", "reason", "reason_concept_id", "stage_today")
     )
+
+
+def art_eligibility_reason(src, as_of: str, compat: str = "intended") -> DataFrame:
+    """Reason for eligibility per patient: ``(patient_id, reason, reason_concept_id)``, see ``eligibility_cases``."""
+    return eligibility_cases(src, as_of, compat).drop("stage_today")

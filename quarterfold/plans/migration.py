@@ -356,9 +356,7 @@ def unmapped_concepts(obs: DataFrame) -> DataFrame:
 
 def eligibility_obs(src, dst, maps: KeyMaps, as_of: str, compat: str = "intended") -> DataFrame:
     """The derived reason for treatment at the staging visit, for patients beyond stage 1."""
-    today = src["patient"].selectExpr("patient_id", f"DATE'{as_of}' AS asked")
-    beyond = rules.who_stage(src, today, as_of).filter("stage > 1").select("patient_id")
-    reasons = rules.art_eligibility_reason(src, as_of, compat).filter("reason_concept_id IS NOT NULL")
+    reasons = rules.eligibility_cases(src, as_of, compat).filter("reason_concept_id IS NOT NULL AND stage_today > 1")
     staging = F.broadcast(
         src["encounter_type"].filter(ci(F.col("name")) == rules.STAGING.lower()).selectExpr("encounter_type_id AS encounter_type")
     )
@@ -368,7 +366,7 @@ def eligibility_obs(src, dst, maps: KeyMaps, as_of: str, compat: str = "intended
     asked = concept_id_by_name(dst["concept_name"], [ELIGIBILITY]).agg(F.min("concept_id")).scalar()
     rows = (
         any_per(visit, "patient_id", "encounter_id")
-        .join(semi(reasons, beyond, "patient_id"), "patient_id")
+        .join(reasons, "patient_id")
         .withColumn("concept_id", asked)
         .selectExpr(
             "patient_id AS person_id", "concept_id", "encounter_id", "encounter_datetime AS obs_datetime", "location_id",

@@ -138,6 +138,29 @@ def test_figures_over_details(spark):
     assert single == {n: got[n] for n in single}
 
 
+def test_periods_of_any_length_equal_one_at_a_time(spark):
+    patients, details = {}, []
+    for i in range(40):
+        on = f"2000-{1 + i % 12:02d}-{1 + i * 7 % 28:02d}"
+        patients[i] = {"registration_date": f"{on} 08:00:00", "gender": "FM"[i % 2], "age_initiation": float(i),
+                       "expiry_date_for_last_arvs": "2000-09-01", "latest_state": ("Patient died", None)[i % 2], "latest_state_date": on}
+        for n in range(i % 4):
+            seen = f"2000-{1 + (i + 3 * n) % 12:02d}-15"
+            details.append(on_art(i, tb_status_date=seen, current_episode_of_tb=(None, seen)[n % 2], karposis_sarcoma=seen,
+                                  tb_within_the_last_2_years=seen, last_visit_date=f"2001-0{1 + n}-01", latest_side_effects=f"{seen} 01:00:00"))
+    p, d = tables(spark, patients, details)
+    asked = [("1999-01-01", "1999-12-31"), ("2000-01-01", "2000-12-31"), ("2000-02-10", "2000-02-10"), ("2000-02-10", "2000-08-20"),
+             ("2000-05-05", "2001-06-30"), ("2000-07-01", "2000-06-01"), ("2005-01-01", "2005-01-31")]
+    rows = [*asked, asked[1], (None, "2000-12-31"), ("2000-01-01", None)]
+    periods = spark.createDataFrame(rows, "start_date string, end_date string")
+    got = {(str(r.start_date), str(r.end_date), r.indicator): r.value for r in report.report_periods(spark, p, d, periods).collect()}
+    assert len(got) == 82 * len(asked)
+    for period in asked:
+        one = report.counts(p, d, *period).first().asDict()
+        assert {n: got[*period, n] for n in one} == one
+    assert report.report_periods(spark, p, d, periods.limit(0)).count() == 0
+
+
 # Recorded before this code existed, on the same projections: (figure, new A, cum A, new B, cum B).
 RECORDED = [
     ("total_reg", 176, 602, 12, 1438), ("ft", 167, 579, 0, 1174), ("re", 4, 9, 3, 84), ("ti", 5, 14, 9, 180),
