@@ -184,3 +184,24 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
+
+
+# The windows of every text as they stand, and what none of the repeated ones covers.
+SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, CAST(doc_id AS BIGINT) AS doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+win AS (
+  SELECT r, i, sha256(array_to_string(w[i:i + {WINDOW - 1}], ' ')) AS h
+  FROM (SELECT r, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM d WHERE len(w) >= {WINDOW})),
+covered AS (
+  SELECT DISTINCT r, j FROM (
+    SELECT r, unnest(range(i, i + {WINDOW})) AS j FROM win WHERE h IN (SELECT h FROM win GROUP BY h HAVING count(*) > 1))),
+kept AS (
+  SELECT k.r, string_agg(k.word, ' ' ORDER BY k.j) AS words
+  FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d) k
+  ANTI JOIN covered c ON c.r = k.r AND c.j = k.j GROUP BY k.r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+  CAST((SELECT count(*) FROM covered c WHERE c.r = d.r) AS BIGINT) AS n_removed,
+  sha256(coalesce((SELECT words FROM kept k WHERE k.r = d.r), '')) AS kept_sha256
+FROM d"""

@@ -320,3 +320,23 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+# All pairs that share a shingle, counted, and what links reach.
+SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT CAST(doc_id AS BIGINT) AS doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, sha256(array_to_string(w[i:i + 2], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0) GROUP BY ALL),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT p.a, p.b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y ON x.h = y.h AND x.doc_id <> y.doc_id GROUP BY ALL) p
+  JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b WHERE 100 * shared >= 90 * (na.n + nb.n - shared)),
+reached(a, b) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(b) FROM reached r WHERE r.a = d.doc_id) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id"""

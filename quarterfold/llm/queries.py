@@ -24,8 +24,10 @@ QUERIES = {
 }
 
 SQL = {
+    "op3_substring_dedup": op3_substrings.SQL,
     "op4_mix": op4_mix.SQL,
     "op6_exact_dedup": op6_exact.SQL,
+    "op7_jaccard": op7_jaccard.SQL,
     "op9_decontaminate": op9_decontaminate.SQL,
     "op11_lines": op11_lines.SQL,
     "op12_pivots": op12_pivots.SQL,
