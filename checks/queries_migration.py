@@ -12,7 +12,7 @@ from quarterfold.fixtures import Renamed, fixtures_of
 from quarterfold.operators.mapping import KeyMaps, remap_actor
 from quarterfold.plans import migration as m
 from quarterfold.sources.maps import load_map
-from quarterfold.sources.select import extract_person_closure, page_patients
+from quarterfold.sources.select import extract_person_closure, list_reference_tables, page_patients
 from quarterfold.sources.scratch import fresh_path
 from quarterfold.sources.sinks import append, appended, export_tables, split_valid, upsert, without_rejected
 from quarterfold.sources.tables import Source, copy_tables, read_copied
@@ -33,7 +33,8 @@ class Run:
     @property
     def maps(self) -> KeyMaps:
         if self._maps is None:
-            self._maps = KeyMaps(m.user_map(self.persons), self.fixtures["concept_map"], load_map(self.spark, "drug"))
+            maps = KeyMaps(m.user_map(self.persons), self.fixtures["concept_map"], load_map(self.spark, "drug"))
+            self._maps = maps.stored(self.spark)
         return self._maps
 
     def rejected(self) -> tuple[DataFrame, DataFrame]:
@@ -51,7 +52,8 @@ def _closure(r: Run) -> DataFrame:
     keys = {
         "person": "person_id", "patient": "patient_id", "patient_program": "patient_program_id",
         "patient_state": "patient_state_id", "encounter": "encounter_id", "obs": "obs_id", "orders": "order_id",
-        "drug_order": "order_id",
+        "drug_order": "order_id", "person_address": "person_address_id", "person_attribute": "person_attribute_id",
+        "person_name": "person_name_id", "person_name_code": "person_name_code_id", "patient_identifier": "patient_identifier_id",
     }
     found = extract_person_closure({t: r.fixtures[t] for t in keys}, r.fixtures["person"].filter("dead = 1"))
     return reduce(DataFrame.unionAll, (found[t].selectExpr(f"'{t}' AS table_name", f"{k} AS id") for t, k in keys.items()))
@@ -95,6 +97,32 @@ def _append(r: Run) -> DataFrame:
     return appended(r.spark, path, obs.schema)
 
 
+def _maps_from_files(r: Run) -> DataFrame:
+    """The concept map from a CSV file and the user map from parquet, as a site brings them."""
+    path = fresh_path(r.spark, "maps")
+    r.fixtures["concept_map"].write.csv(f"{path}/concept.csv", header=True)
+    m.user_map(r.persons).write.parquet(f"{path}/user")
+    concepts, users = load_map(r.spark, "concept", f"{path}/concept.csv"), load_map(r.spark, "user", f"{path}/user")
+    return users.selectExpr(
+        "'user' AS map", "old_user_id AS old_key", "new_user_id AS new_key", "CAST(NULL AS STRING) AS old_name"
+    ).unionByName(concepts.selectExpr(
+        "'concept' AS map", "old_concept_id AS old_key", "new_concept_id AS new_key", "old_concept_name AS old_name"))
+
+
+def _reference_tables(r: Run) -> DataFrame:
+    """A catalogue over the given tables: those not on the exclusion list, with their rows."""
+    at = fresh_path(r.spark, "catalogue")
+    database = "catalogue_" + at.rsplit("-", 1)[1]
+    r.spark.sql(f"CREATE DATABASE {database} LOCATION '{at}'")
+    for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
+        r.spark.sql(f"CREATE TABLE {database}.{name} USING parquet LOCATION '{r.fixtures.sf_dir}/{name}.parquet'")
+    counts = [
+        r.spark.read.table(f"{database}.{t}").groupBy(F.lit(t).alias("table_name")).agg(F.count("*").alias("n"))
+        for t in list_reference_tables(r.spark, database=database)
+    ]
+    return reduce(DataFrame.unionAll, counts)
+
+
 def _copied(r: Run) -> DataFrame:
     """Patients of a source that has zero dates for missing ones, copied as a set with the persons."""
     at, target = fresh_path(r.spark, "source"), fresh_path(r.spark, "copied")
@@ -161,6 +189,8 @@ STEPS: dict[str, Callable[[Run], DataFrame]] = {
     "upsert_reset_owner": _upsert_reset,
     "person_closure": _closure,
     "audit_replay": _audit_replay,
+    "key_maps_from_files": _maps_from_files,
+    "reference_tables": _reference_tables,
     "append_by_batch": _append,
     "copied_set": _copied,
     "export_null_text": _exported_nulls,

@@ -33,7 +33,8 @@ _BY = f"{_user('t.creator')} AS creator, t.date_created"
 _OLD_VOIDED = f"t.voided, coalesce({_user('t.voided_by')}, t.voided_by) AS voided_by, t.date_voided, t.void_reason"
 _OLD_CHANGED = f"coalesce({_user('t.changed_by')}, t.changed_by) AS changed_by, t.date_changed"
 _OLD_BY = f"coalesce({_user('t.creator')}, t.creator) AS creator, t.date_created"
-_NTH = "row_number() OVER (PARTITION BY t.patient_id, t.identifier_type, t.identifier ORDER BY t.date_created, t.creator, t.location_id)"
+_NTH = "row_number() OVER (PARTITION BY t.patient_id, t.identifier_type, t.identifier ORDER BY t.date_created, t.creator, t.location_id, "
+_NTH += "t.preferred, t.voided, t.voided_by, t.date_voided, t.void_reason)"
 _IDENTIFIER_KEY = ("t.patient_id", "t.identifier_type", "t.identifier", _NTH)
 
 _DRUG_VALUES = ", ".join(f"({old}, {new})" for old, _, _, new in DRUG_MAP)
@@ -285,8 +286,23 @@ _STEPS: dict[str, tuple[list[str], list, str]] = {
     "upsert_reset_owner": (["src_person", "src_relationship"], [], """
         SELECT t.relationship_id, coalesce(a.patient_id, -1) AS person_a, t.relationship
         FROM fx_src_relationship t LEFT JOIN fx_src_person a ON a.person_id = t.person_id"""),
+    "key_maps_from_files": (["src_users", "src_patient", "concept_map"], [PERSONS, USER_MAP], """
+        SELECT 'user' AS map, old_user_id AS old_key, new_user_id AS new_key, CAST(NULL AS VARCHAR) AS old_name FROM user_map
+        UNION ALL SELECT 'concept', old_concept_id, new_concept_id, old_concept_name FROM fx_concept_map"""),
     "person_closure": (
-        ["person", "patient", "patient_program", "patient_state", "encounter", "obs", "orders", "drug_order"], [], """
+        ["person", "patient", "patient_program", "patient_state", "encounter", "obs", "orders", "drug_order", "person_address",
+         "person_attribute", "person_name", "person_name_code", "patient_identifier"], [], """
+        SELECT 'person_address' AS table_name, person_address_id AS id FROM fx_person_address
+          WHERE person_id IN (SELECT person_id FROM fx_person WHERE dead = 1)
+        UNION ALL SELECT 'person_attribute', person_attribute_id FROM fx_person_attribute
+          WHERE person_id IN (SELECT person_id FROM fx_person WHERE dead = 1)
+        UNION ALL SELECT 'person_name', person_name_id FROM fx_person_name
+          WHERE person_id IN (SELECT person_id FROM fx_person WHERE dead = 1)
+        UNION ALL SELECT 'person_name_code', person_name_code_id FROM fx_person_name_code WHERE person_name_id IN (SELECT person_name_id
+          FROM fx_person_name WHERE person_id IN (SELECT person_id FROM fx_person WHERE dead = 1))
+        UNION ALL SELECT 'patient_identifier', patient_identifier_id FROM fx_patient_identifier
+          WHERE patient_id IN (SELECT person_id FROM fx_person WHERE dead = 1)
+        UNION ALL
         SELECT 'person' AS table_name, person_id AS id FROM fx_person WHERE dead = 1
         UNION ALL SELECT 'patient', patient_id FROM fx_patient WHERE patient_id IN (SELECT person_id FROM fx_person WHERE dead = 1)
         UNION ALL SELECT 'patient_program', patient_program_id FROM fx_patient_program WHERE patient_id IN (SELECT person_id FROM fx_person WHERE dead = 1)
@@ -306,3 +322,7 @@ _STEPS["stream_states_once"] = (
 )
 
 MIGRATION_SQL = {name: with_tables(tables, *queries) + select for name, (tables, queries, select) in _STEPS.items()}
+
+# Raw tables that are not on the exclusion list.
+_REFERENCE = ("customer", "lineitem", "nation", "part", "region", "supplier")
+MIGRATION_SQL["reference_tables"] = "\nUNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in _REFERENCE)

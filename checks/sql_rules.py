@@ -8,7 +8,7 @@ VIEW_SQL = {
     "clinic_consultation_encounter": (["encounter"], "SELECT * FROM fx_encounter WHERE encounter_type = 53 AND voided = 0"),
     "clinic_registration_encounter": (["encounter"], "SELECT * FROM fx_encounter WHERE encounter_type = 9 AND voided = 0"),
     "earliest_start_date": (["patient_program", "patient_state", "person"], """
-        SELECT pp.patient_id, min(pp.date_enrolled) AS date_enrolled, min(s.start_date) AS earliest_start_date,
+        SELECT pp.patient_id, arg_min(pp.date_enrolled, pp.patient_program_id) AS date_enrolled, min(s.start_date) AS earliest_start_date,
           any_value(pe.death_date) AS death_date
         FROM fx_patient_program pp LEFT JOIN fx_patient_state s ON s.patient_program_id = pp.patient_program_id
         LEFT JOIN fx_person pe ON pe.person_id = pp.patient_id

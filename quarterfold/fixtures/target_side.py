@@ -143,6 +143,21 @@ TARGET_SIDE: dict[str, str] = {
         SELECT c_custkey AS patient_id, CAST(c_nationkey AS BIGINT) + 1 AS creator,
           CAST(DATE '1995-01-01' + CAST((c_custkey * 31) % 2400 AS INT) AS {ts}) AS date_created, 0 AS voided
         FROM {raw_customer}""",
+    "person_address": """
+        SELECT c_custkey * 10 + 1 AS person_address_id, c_custkey AS person_id, c_mktsegment AS city_village
+        FROM {raw_customer} WHERE c_custkey % 4 <> 0""",
+    "person_attribute": """
+        SELECT c_custkey * 10 + k AS person_attribute_id, c_custkey AS person_id, k AS person_attribute_type_id, c_name AS value
+        FROM {raw_customer} CROSS JOIN (SELECT * FROM (VALUES (CAST(1 AS BIGINT)), (CAST(2 AS BIGINT))) AS v(k)) two""",
+    "person_name": """
+        SELECT c_custkey * 10 + 2 AS person_name_id, c_custkey AS person_id, c_name AS given_name, c_mktsegment AS family_name
+        FROM {raw_customer}""",
+    "person_name_code": """
+        SELECT person_name_id * 10 + 3 AS person_name_code_id, person_name_id, substr(given_name, 1, 4) AS given_name_code
+        FROM {person_name} WHERE person_id % 3 <> 0""",
+    "patient_identifier": """
+        SELECT c_custkey * 10 + 4 AS patient_identifier_id, c_custkey AS patient_id, c_name AS identifier
+        FROM {raw_customer} WHERE c_custkey % 5 <> 0""",
     "encounter": f"""
         SELECT o_orderkey AS encounter_id, o_custkey AS patient_id, o_orderdate AS encounter_datetime,
           CAST({_cases([("'1-URGENT'", 9), ("'2-HIGH'", 52), ("'3-MEDIUM'", 53),

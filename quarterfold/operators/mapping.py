@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quarterfold.functions import row_uuid
 from quarterfold.operators.lookups import fixed_table
+from quarterfold.sources.scratch import fresh_path
+
+# Over how many keys rows without a key are spread, should a join shuffle them.
+SPREAD = 4096
 
 
 @dataclass(frozen=True)
@@ -42,18 +46,38 @@ class KeyMaps:
         self.concepts = self._pairs(concepts, "old_concept_id", "new_concept_id")
         self.drugs = self._pairs(drugs, "drug_id", "new_drug_id")
 
+    def stored(self, spark: SparkSession) -> KeyMaps:
+        """The maps as tables. They are derived once for all columns that go through them, and their sizes are known when
+        a join is planned: Spark broadcasts those below its own threshold and shuffles the others."""
+        path, kept = fresh_path(spark, "key-maps"), object.__new__(KeyMaps)
+        for name, df in vars(self).items():
+            df.write.parquet(f"{path}/{name}")
+            setattr(kept, name, spark.read.schema(df.schema).parquet(f"{path}/{name}"))
+        return kept
+
     @staticmethod
     def _pairs(table: DataFrame, old: str, new: str) -> DataFrame:
         pairs = table.groupBy(F.col(old).alias("_old")).agg(F.min(new).alias("_new"))
         return pairs
 
 
+def left_lookup(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Left join to a table with one row per ``key``.
+
+    Rows without a key match nothing; where the join is a shuffle they are spread rather than sent to one task.
+    """
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)) + 1).otherwise(F.lit(0).cast("bigint"))
+    # zero for all, but not a literal, which the optimizer would take out of the join's keys
+    met = F.pmod(F.xxhash64(key), F.lit(1).cast("bigint"))
+    return df.withColumn("_spread", spread).join(table.withColumn("_spread", met), [key, "_spread"], "left").drop("_spread")
+
+
 def remap_columns(df: DataFrame, columns: tuple[str, ...], pairs: DataFrame, missing: str = "null") -> DataFrame:
     """Replaces keys by their mapped values; without one: NULL, or the old key with ``missing="keep"``."""
     order = df.columns
     for c in columns:
         value = "_new" if missing == "null" else f"coalesce(_new, {c})"
-        df = df.join(pairs.withColumnRenamed("_old", c), c, "left").withColumn("_value", F.expr(value))
+        df = left_lookup(df, pairs.withColumnRenamed("_old", c), c).withColumn("_value", F.expr(value))
         df = df.drop("_new", c).withColumnRenamed("_value", c)
     return df.select(*order)
 

@@ -14,7 +14,7 @@ from quarterfold.operators import rules
 from quarterfold.operators.lookups import (
     Dictionary, concept_id_by_name, daily_dose, remap_by_name,
 )
-from quarterfold.operators.mapping import KeyMaps, MappingSpec, apply_mapping, recode, remap_actor, remap_columns
+from quarterfold.operators.mapping import KeyMaps, MappingSpec, apply_mapping, left_lookup, recode, remap_actor, remap_columns
 from quarterfold.operators.rows import any_per, latest_per, not_processed, semi, sequential_ids
 from quarterfold.plans.events import PROGRAM, STATE_ROLES, is_state
 
@@ -168,8 +168,9 @@ def names(src, maps: KeyMaps) -> DataFrame:
 
 
 def _told_apart(identifiers: DataFrame) -> DataFrame:
-    """Adds ``nth``: a number within rows of one patient, type and text, which have no key of their own."""
-    same = Window.partitionBy("patient_id", "identifier_type", "identifier").orderBy("date_created", "creator", "location_id")
+    """Adds ``nth``: a number within rows of one patient, type and text, which have no key of their own. All other columns
+    order them, so rows that swap numbers between runs are alike in full."""
+    same = Window.partitionBy("patient_id", "identifier_type", "identifier").orderBy("date_created", "creator", "location_id", "preferred", *_VOIDING)
     return identifiers.withColumn("nth", F.row_number().over(same))
 
 
@@ -336,7 +337,7 @@ def obs_mapped(src, dst, maps: KeyMaps, invert: bool = True) -> DataFrame:
     induced = concept_id_by_name(dst["concept_name"], [DRUG_INDUCED]).agg(F.min("concept_id")).scalar()
     turned = "coalesce(symptom AND confirmed, FALSE)" if invert else "FALSE"
     rows = (
-        src["obs"].join(asked, "concept_id", "left").join(told, "value_coded", "left")
+        left_lookup(left_lookup(src["obs"], asked, "concept_id"), told, "value_coded")
         .withColumn("induced_id", induced)
         .selectExpr(
             "obs_id", "patient_id AS person_id", f"CASE WHEN {turned} THEN induced_id ELSE asked_id END AS concept_id",

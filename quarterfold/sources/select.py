@@ -39,9 +39,10 @@ def page_patients(patients: DataFrame, offset: int, n: int, newest_first: bool =
 
 
 def list_reference_tables(spark: SparkSession, exclude: Iterable[str] = NOT_REFERENCE, database: str | None = None) -> list[str]:
-    """Names of the catalogue's tables that are not on the exclusion list."""
+    """Names of the catalogue's tables that are not on the exclusion list; of a named database without the session's views."""
     left_out = set(exclude)
-    return sorted(t.name for t in spark.catalog.listTables(database) if t.name not in left_out)
+    found = spark.catalog.listTables(database)
+    return sorted(t.name for t in found if t.name not in left_out and not (database and t.isTemporary))
 
 
 def extract_person_closure(tables: Mapping[str, DataFrame], person_ids: DataFrame) -> dict[str, DataFrame]:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 
 from checks.queries_migration import Run, STEPS
+from quarterfold.operators.mapping import remap_columns
 from quarterfold.plans import migration as m
 from quarterfold.sources.maps import DRUG_MAP, load_map
 from quarterfold.sources.sinks import append, export_tables, write_upsert
@@ -96,3 +97,24 @@ def test_no_source_column_of_an_observation_is_lost(run):
     assert set(run.src["orders"].columns) <= set(m.orders_mapped(run.src, run.maps).columns)
     assert set(run.src["obs"].columns) <= set(m.export_table("obs", run.src, run.dst, run.maps).columns) | {"patient_id"}
     assert set(run.src["encounter"].columns) <= set(m.export_table("encounter", run.src, run.dst, run.maps).columns)
+
+
+def test_missing_keys_are_spread_when_a_map_is_too_large_to_broadcast(spark):
+    rows = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN id % 50 END AS k")
+    pairs = spark.range(40).selectExpr("id AS _old", "id + 1000 AS _new")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = remap_columns(rows, ("k",), pairs)
+        plan = got._jdf.queryExecution().sparkPlan().toString() + got._jdf.queryExecution().executedPlan().toString()
+        found = {r.id: r.k for r in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin" not in plan and "hashpartitioning(k#" in plan
+    assert all("_spread" in line for line in plan.splitlines() if "hashpartitioning(k#" in line)
+    assert found == {i: i % 50 + 1000 if i % 3 == 0 and i % 50 < 40 else None for i in range(3000)}
+
+
+def test_stored_maps_are_broadcast_by_their_size(run):
+    plan = m.obs_mapped(run.src, run.dst, run.maps)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 4 and "SortMergeJoin" not in plan
