@@ -226,7 +226,8 @@ SOURCE_SIDE: dict[str, str] = {
           CAST({_cases([("'1-URGENT'", 1), ("'2-HIGH'", 2), ("'3-MEDIUM'", 3), ("'4-NOT SPECIFIED'", 4)],
                        "o_orderpriority", "5 + o_orderkey % 8")} AS BIGINT) AS encounter_type,
           CAST(o_orderkey % 25 + 1 AS BIGINT) AS provider_id, CAST(o_orderkey % 7 AS BIGINT) AS location_id,
-          CAST(NULL AS BIGINT) AS form_id, o_orderdate AS encounter_datetime,
+          CAST(NULL AS BIGINT) AS form_id,
+          CASE WHEN o_custkey % 9 = 4 THEN CAST(CAST(o_orderdate AS DATE) + 6200 AS {{ts}}) ELSE o_orderdate END AS encounter_datetime,
           CAST(o_orderkey % 26 + 1 AS BIGINT) AS creator,
           CAST(CAST(o_orderdate AS DATE) + 1 AS {{ts}}) AS date_created,
           CASE WHEN o_orderkey % 31 = 0 THEN 1 ELSE 0 END AS voided,

@@ -169,9 +169,16 @@ TARGET_SIDE: dict[str, str] = {
           CAST(DATE '1995-01-01' + CAST((c_custkey * 31) % 2400 + 7 AS INT) AS {ts}) AS date_enrolled,
           CAST(DATE '1995-01-01' + CAST((c_custkey * 31) % 2400 AS INT) AS {ts}) AS date_created,
           CASE WHEN c_custkey % 47 = 0 THEN 1 ELSE 0 END AS voided
-        FROM {raw_customer}""",
+        FROM {raw_customer}
+        UNION ALL
+        SELECT CAST(3000000000 AS BIGINT) + c_custkey AS patient_program_id, c_custkey AS patient_id, CAST(1 AS BIGINT) AS program_id,
+          CAST(DATE '1995-01-01' + CAST((c_custkey * 31) % 2400 - 30 AS INT) AS {ts}) AS date_enrolled,
+          CAST(DATE '1995-01-01' + CAST((c_custkey * 31) % 2400 AS INT) AS {ts}) AS date_created, 0 AS voided
+        FROM {raw_customer} WHERE c_custkey % 4 = 1""",
     "patient_state": f"""
-        SELECT o_orderkey AS patient_state_id, o_custkey AS patient_program_id,
+        SELECT o_orderkey AS patient_state_id,
+          CASE WHEN o_custkey % 4 = 1 AND o_orderkey % 3 = 0 THEN CAST(3000000000 AS BIGINT) ELSE CAST(0 AS BIGINT) END + o_custkey
+            AS patient_program_id,
           CAST({_cases([(0, 3), (1, 2), (2, 6), (3, 1)], "o_orderkey % 10", "7")} AS BIGINT) AS state,
           CAST(o_orderdate AS DATE) AS start_date,
           CASE WHEN o_orderkey % 41 = 0 THEN 1 ELSE 0 END AS voided
