@@ -74,14 +74,16 @@ class Model:
     def __init__(self, odds: dict[str, float], other: float, rate: float, k: float):
         self.odds, self.other, self.rate, self.k, self.curve = odds, other, rate, k, (0.0, 0.0)
 
-    def evidence(self, text: str, memo: Scores) -> tuple[float, list[tuple[int, int]]]:
-        """Summed excess of the significant passages, and where they are, in words."""
+    def passages(self, text: str, memo: Scores) -> tuple[int, list[tuple[float, int, int]]]:
+        """Number of words, and the maximal segments with their scores."""
         scores = list(map(memo.__getitem__, _WORD.findall(text.lower())))
         hits = [(i, s) for i, s in enumerate(scores) if s > 0]
-        if not hits:
-            return 0.0, []
-        chance = math.log(max(self.k * len(scores), 1e-12))
-        found = [(self.rate * s - chance, a, b) for s, a, b in segments(hits, self.other)]
+        return len(scores), segments(hits, self.other) if hits else []
+
+    def evidence(self, n: int, found: list[tuple[float, int, int]]) -> tuple[float, list[tuple[int, int]]]:
+        """Summed excess of the significant passages, and where they are, in words."""
+        chance = math.log(max(self.k * n, 1e-12))
+        found = [(self.rate * s - chance, a, b) for s, a, b in found]
         return sum(max(e, 0.0) for e, _, _ in found), [(a, b + 1) for e, a, b in found if e > 0]
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
@@ -113,27 +115,45 @@ def log_odds(rows: DataFrame) -> tuple[dict[str, float], float, float, float]:
     p_t = min(sum(r["t"] for r in own) / t_all, 0.5)
     p_c = max(sum(r["c"] for r in own) / c_all, 1 / c_all)
     other = min(math.log((1 - p_t) / (1 - min(p_c, p_t / 2 + 1e-9))), -0.01)
-    # L: where the mean of exp(L * score) over clean words is 1.
-    mean = sum(scores.values()) / max(len(scores), 1) or 1.0
+    # L: where the mean of exp(L * score) over clean words is 1, each score weighed by how often clean words have it.
+    weighed = [(r["c"] / c_all, scores[r["u"]]) for r in own]
     low, high = 0.0, 20.0
     for _ in range(60):
         middle = (low + high) / 2
-        low, high = (middle, high) if p_c * math.exp(min(middle * mean, 500)) + (1 - p_c) * math.exp(middle * other) < 1 else (low, middle)
+        total = sum(p * math.exp(min(middle * s, 500)) for p, s in weighed) + (1 - p_c) * math.exp(middle * other)
+        low, high = (middle, high) if total < 1 else (low, middle)
     return scores, other, max(low, 0.05), p_c
 
 
+def extreme_value_k(rate: float, lengths: np.ndarray, best: np.ndarray, otherwise: float) -> float:
+    """K by maximum likelihood from clean texts: K * words * exp(-L * best score) is exponential with mean 1."""
+    chances = float((lengths * np.exp(-np.clip(rate * best, 0, 500))).sum())
+    return len(lengths) / chances if chances > 0 else otherwise
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Learns from a bounded sample of labelled rows; significant words and a number for each row reach the driver."""
     rows = labelled.with_labels(docs, labelled.sample(labels, "toxic", MODULUS, HELD_OUT))
-    model = Model(*log_odds(rows))
+    # words are weighed on two thirds of the texts, the calibration and the curve fitted on the others
+    part = F.pmod(F.xxhash64(text_of("text")), F.lit(3))
+    model = Model(*log_odds(rows.where(part > 0)))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Scores(model.odds, model.other)
         for batch in batches:
-            values = [model.evidence(t.as_py() or "", memo)[0] for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([pa.array(values, pa.float64()), batch.column("label")], names=["e", "label"])
-
-    got = rows.mapInArrow(measured, "e double, label int").toPandas().sort_values(["e", "label"])
+            found = [model.passages(t.as_py() or "", memo) for t in batch.column("text")]
+            lengths, scores = [n for n, _ in found], [[s for s, _, _ in f] for _, f in found]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lengths, pa.int64()), pa.array(scores, pa.list_(pa.float64())), batch.column("label")],
+                names=["n", "scores", "label"])
+
+    # a few numbers for each text of the bounded sample
+    got = rows.where(part == 0).mapInArrow(measured, "n long, scores array<double>, label int").toPandas()
+    clean = got[(got["label"] == 0) & (got["n"] > 0)]
+    best = np.array([max(s, default=0.0) for s in clean["scores"]])
+    model.k = extreme_value_k(model.rate, clean["n"].to_numpy(float), best, model.k)
+    got["e"] = [model.evidence(n, [(s, 0, 0) for s in found])[0] for n, found in zip(got["n"], got["scores"])]
+    got = got.sort_values(["e", "label"])
     x, y = np.log1p(got["e"].to_numpy(float)), got["label"].to_numpy(float)
     a, b = 1.0, -2.0
     for _ in range(50 if len(y) else 0):  # Newton's steps for the curve, slightly damped towards (1, -2)
@@ -163,7 +183,7 @@ def _scored(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Scores(model.odds, model.other)
         for batch in batches:
-            found = [model.evidence(t.as_py() or "", memo) for t in batch.column("text")]
+            found = [model.evidence(*model.passages(t.as_py() or "", memo)) for t in batch.column("text")]
             p = model.score(np.array([e for e, _ in found], dtype=float))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in keep), pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32)),
@@ -181,7 +201,7 @@ def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Scores(model.odds, model.other)
         for batch in batches:
-            p = model.score(np.array([model.evidence(t.as_py() or "", memo)[0] for t in batch.column("text")], dtype=float))
+            p = model.score(np.array([model.evidence(*model.passages(t.as_py() or "", memo))[0] for t in batch.column("text")], dtype=float))
             yield batch.filter(pa.array(p < THRESHOLD))
 
     return docs.mapInArrow(clean, docs.schema)

@@ -216,3 +216,26 @@ def test_stages_with_clashing_columns(spark):
         assert rows_of(got, "doc_id", "text", "source") == rows_of(stage(plain), "doc_id", "text", "source")
         assert all(r[n] == f"z{i}" for r in got.collect() for i, n in enumerate(names))
         assert stage(clashing.limit(0)).count() == 0
+
+
+def test_chances_of_passages_in_clean_words_are_about_right():
+    """Words at random as a clean text has them: few texts have a passage that is rare by K and L."""
+    rng, shares, other = np.random.default_rng(5), {2.0: 0.01, 3.0: 0.005, 4.0: 0.002}, -0.3
+    low, high = 0.0, 5.0
+    for _ in range(60):
+        rate = (low + high) / 2
+        mean = sum(p * np.exp(rate * s) for s, p in shares.items()) + (1 - sum(shares.values())) * np.exp(rate * other)
+        low, high = (rate, high) if mean < 1 else (low, rate)
+
+    def best(n):
+        drawn = rng.choice([*shares, other], n, p=[*shares.values(), 1 - sum(shares.values())])
+        hits = [(i, float(s)) for i, s in enumerate(drawn) if s > 0]
+        return max((s for s, _, _ in op5_toxicity.segments(hits, other)), default=0.0) if hits else 0.0
+
+    lengths = rng.integers(100, 600, 1500).astype(float)
+    fitted, judged = (np.array([best(int(n)) for n in lengths]) for _ in range(2))
+    k = op5_toxicity.extreme_value_k(rate, lengths, fitted, 1.0)
+    chance = 1 - np.exp(-k * lengths * np.exp(-rate * judged))
+    for level in (0.5, 0.2, 0.1, 0.05):
+        assert 0.4 * level < (chance <= level).mean() < 1.8 * level
+    assert op5_toxicity.extreme_value_k(rate, np.zeros(0), np.zeros(0), 0.25) == 0.25
