@@ -12,13 +12,14 @@ of the source tables (the last row to arrive wins, whatever its date).
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from quarterfold.operators.lookups import Dictionary, arv_drugs, concept_roles
+from quarterfold.operators.mapping import left_lookup
 
 # SQL condition of a slot, alone or with the SQL of its value.
 Rule = str | tuple[str, str]
@@ -199,6 +200,11 @@ EXPIRY_RULES: Mapping[str, Rule] = {
 DEATH_RULES: Mapping[str, Rule] = {"death": ("TRUE", "death_date")}
 
 
+def combined(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Slots, which are all columns but the keys, combined per keys: partly before the shuffle."""
+    return df.groupBy(*keys).agg(*[(F.min(s) if s in FIRST_WINS else F.max(s)).alias(s) for s in df.columns if s not in keys])
+
+
 class ClinicalEvents:
     """Events of the sources, built from a mapping of table name to DataFrame."""
 
@@ -235,45 +241,30 @@ class ClinicalEvents:
         )
 
     def observations(self, obs: DataFrame | None = None) -> DataFrame:
-        """Rules that need the observation alone; every observation is a visit."""
-        obs = self.tables["obs"] if obs is None else obs
-        rows = obs.selectExpr(
-            "person_id AS patient_id", "obs_datetime AS at", "obs_id AS id", *self.ordering.ranking(),
-            "concept_id", "value_coded", "value_coded_name_id",
-        )
-        rows = rows.join(self._questions, "concept_id", "left").join(self._answers, "value_coded", "left")
-        return self._event(rows, OBSERVATION_RULES)
+        """Rules of observations; every observation is a visit. One read of the table.
 
-    def visit_observations(self, obs: DataFrame | None = None) -> DataFrame:
-        """Rules that need the type of the visit.
-
-        The type is the same for all rows of a visit, so the rows are combined
-        per patient, quarter and visit first; a visit with very many rows does
-        not reach the join as such.
+        Rows are combined per patient and quarter and, for rules that look at the type of the visit, per visit as well; a
+        visit with very many rows does not reach the join as such. Rows of the other rules have no visit and meet none.
         """
         obs = self.tables["obs"] if obs is None else obs
-        rows = obs.filter("encounter_id IS NOT NULL").selectExpr(
-            "person_id AS patient_id", "obs_datetime AS at", "obs_id AS id", *self.ordering.ranking(),
-            "encounter_id", "concept_id", "value_coded", "value_datetime", "value_numeric", "value_text",
-        )
-        rows = rows.join(self._questions.filter(_concept(*VISIT_GATED)), "concept_id").join(
-            self._answers, "value_coded", "left"
+        rows = obs.selectExpr(
+            "person_id AS patient_id", "obs_datetime AS at", "obs_id AS id", *self.ordering.ranking(), "encounter_id",
+            "concept_id", "value_coded", "value_coded_name_id", "value_datetime", "value_numeric", "value_text",
         )
-        per_visit = (
-            rows.selectExpr(
-                "patient_id", "trunc(to_date(at), 'quarter') AS quarter_start", "encounter_id",
-                *[self.ordering.slot(name, rule) for name, rule in VISIT_RULES.items()],
-            )
-            .groupBy("patient_id", "quarter_start", "encounter_id")
-            .agg(*[F.max(name).alias(name) for name in VISIT_RULES])
+        rows = rows.join(self._questions, "concept_id", "left").join(self._answers, "value_coded", "left")
+        slots = rows.selectExpr(
+            "patient_id", "trunc(to_date(at), 'quarter') AS quarter_start",
+            f"CASE WHEN {_concept(*VISIT_GATED)} THEN encounter_id END AS visit",
+            *[self.ordering.slot(name, rule) for name, rule in (OBSERVATION_RULES | VISIT_RULES).items()],
         )
-        visits = self.tables["encounter"].select("encounter_id", "encounter_type")
-        visits = visits.join(self._visit_types, "encounter_type").select("encounter_id", "visit_roles")
-        return per_visit.join(visits, "encounter_id").selectExpr(
+        visits = self.tables["encounter"].select(F.col("encounter_id").alias("visit"), "encounter_type")
+        visits = visits.join(self._visit_types, "encounter_type").select("visit", "visit_roles")
+        rows = left_lookup(combined(slots, ("patient_id", "quarter_start", "visit")), visits, "visit")
+        return rows.selectExpr(
             "patient_id", "quarter_start",
             *[
                 f"CASE WHEN {VISITS_OF[name]} THEN {name} END AS {name}" if name in VISIT_RULES
-                else self.ordering.slot(name, None)
+                else name if name in OBSERVATION_RULES else self.ordering.slot(name, None)
                 for name in SLOTS
             ],
         )
@@ -310,7 +301,5 @@ class ClinicalEvents:
         return self._event(rows, DEATH_RULES)
 
     def all(self) -> DataFrame:
-        parts = [
-            self.observations(), self.visit_observations(), self.states(), self.drug_expiry(), self.deaths(),
-        ]
+        parts = [self.observations(), self.states(), self.drug_expiry(), self.deaths()]
         return reduce(DataFrame.unionAll, parts)

@@ -9,26 +9,22 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from quarterfold.operators.lookups import Dictionary, coded_name
-from quarterfold.plans.events import FIRST_WINS, PROGRAM, SLOTS, STATE_ROLES, ClinicalEvents, Ordering
+from quarterfold.plans.events import PROGRAM, SLOTS, STATE_ROLES, ClinicalEvents, Ordering, combined
 
 START_COLUMNS = ("art_start_date", "age_initiation", "registration_date")
 
 
-def _combined() -> list[Column]:
-    return [(F.min(s) if s in FIRST_WINS else F.max(s)).alias(s) for s in SLOTS]
-
-
 def fold(events: DataFrame) -> DataFrame:
     """Slots per patient and calendar quarter."""
-    return events.groupBy("patient_id", "quarter_start").agg(*_combined())
+    return combined(events.select("patient_id", "quarter_start", *SLOTS), ("patient_id", "quarter_start"))
 
 
 def roll_up(quarters: DataFrame) -> DataFrame:
     """Slots per patient; at most one row per quarter and patient goes in."""
-    return quarters.groupBy("patient_id").agg(*_combined())
+    return combined(quarters.select("patient_id", *SLOTS), ("patient_id",))
 
 
 def _columns(o: Ordering) -> list[str]:

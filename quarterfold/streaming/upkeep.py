@@ -37,7 +37,7 @@ FOLD_COLUMNS = ("patient_id", "quarter_start", *SLOTS)
 INDEX_SCHEMA = "source string, last_batch bigint, v bigint"
 
 EVENTS_OF: Mapping[str, Callable[[ClinicalEvents, DataFrame], DataFrame]] = {
-    "obs": lambda e, batch: e.observations(batch).unionAll(e.visit_observations(batch)),
+    "obs": lambda e, batch: e.observations(batch),
     "patient_state": lambda e, batch: e.states(batch),
     "drug_order": lambda e, batch: e.drug_expiry(batch),
     "person": lambda e, batch: e.deaths(batch),

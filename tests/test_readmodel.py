@@ -187,3 +187,24 @@ def test_a_start_date_is_read_whole_or_not_at_all(spark):
         t.patient(pid).obs(pid, pid, tiny.STARTED, "2000-03-01 09:00:00", tiny.REGISTRATION, value_text=text)
     r, _ = built(t)
     assert [str(r[p].art_start_date) for p in range(1, 6)] == ["1998-05-06", "1998-05-06", "None", "None", "None"]
+
+
+def test_observations_are_read_once_and_visits_of_any_size_meet_the_join_combined(spark, tmp_path):
+    t = Tiny(spark).patient(1)
+    for i in range(1, 6):
+        t.obs(i, 1, tiny.REGIMEN, "2000-02-03 00:00:00", tiny.DISPENSING, value_text=str(i))
+        t.rows["obs"][-1]["encounter_id"] = 1
+    t.obs(6, 1, tiny.REGIMEN, "2000-02-04 00:00:00", value_text="no visit")
+    t.rows["obs"][-1]["encounter_id"] = None
+    t["obs"].write.parquet(str(tmp_path / "obs"))
+
+    class Stored:
+        def __getitem__(self, name):
+            return spark.read.parquet(str(tmp_path / "obs")) if name == "obs" else t[name]
+
+    plan = readmodel.fold(ClinicalEvents(Stored()).all())._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    rows = ClinicalEvents(Stored()).observations().collect()
+    assert len(rows) == 2 and [r.regimen.v for r in rows if r.regimen] == ["5"]
+    r, _ = built(Stored())
+    assert r[1].latest_regimen == "5" and str(r[1].last_visit_date) == "2000-02-04 00:00:00"
