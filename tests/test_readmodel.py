@@ -208,3 +208,18 @@ def test_observations_are_read_once_and_visits_of_any_size_meet_the_join_combine
     assert len(rows) == 2 and [r.regimen.v for r in rows if r.regimen] == ["5"]
     r, _ = built(Stored())
     assert r[1].latest_regimen == "5" and str(r[1].last_visit_date) == "2000-02-04 00:00:00"
+
+
+def test_patients_are_dealt_and_sorted_once(spark, tmp_path):
+    """Rows of events are neither sorted before the shuffle nor shuffled again for the starts of their patients."""
+    t = Tiny(spark).patient(1).state(10, 1, tiny.ON_ART, "2000-02-01").state(11, 1, tiny.STOPPED, "2000-05-01")
+    events = ClinicalEvents(t)
+    events.all().write.parquet(str(tmp_path / "events"))
+    quarters = readmodel.fold(spark.read.parquet(str(tmp_path / "events")))
+    plan = readmodel.from_quarters(quarters, t, events.words, AS_OF).details._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count(" Sort [") == 1
+    readmodel.write(spark, t, AS_OF, str(tmp_path / "model"))
+    stored = readmodel.read(spark, str(tmp_path / "model"))
+    want = readmodel.build(t, AS_OF)
+    for table in ("report", "details"):
+        assert sorted(map(str, getattr(stored, table).collect())) == sorted(map(str, getattr(want, table).collect()))
