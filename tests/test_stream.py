@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import re
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -171,6 +173,46 @@ def test_a_batch_that_broke_off_is_not_seen(spark, tmp_path, monkeypatch):
     same(store.model(), readmodel.build(t, AS_OF))
 
 
+def test_rows_older_than_what_is_there_derive_nobody(spark, tmp_path, monkeypatch):
+    t = sample(spark)
+    store = PatientStore(spark, str(tmp_path / "store"), t, AS_OF, "ver", buckets=2)
+    tables = {name: t[name] for name in ("patient", "person", "encounter", "patient_program", "patient_state")}
+    store.load(tables | {"obs": t["obs"].withColumn("ver", F.lit(2))})
+    before = store.state()
+    derived = []
+    monkeypatch.setattr(store, "_derive", lambda *given: derived.append(given))
+    store.apply("obs", t["obs"].selectExpr("* EXCEPT (ver, value_text)", "'Z' AS value_text", "1L AS ver"), 0)
+    assert not derived and store.state().buckets == before.buckets and store.state().batches["obs"] == 0
+    monkeypatch.undo()
+    same(store.model(), readmodel.build(t, AS_OF))
+
+
+def test_batches_that_wait_are_taken_in_together(spark, tmp_path, monkeypatch):
+    t = sample(spark)
+    store = PatientStore(spark, str(tmp_path / "store"), t, AS_OF, "ver", buckets=2)
+    store.load({name: t[name] for name in ("encounter", "patient_program")})
+    taken, first, take = [], threading.Event(), store._take
+
+    def slow(batches, numbers):
+        taken.append(sorted(numbers))
+        if len(taken) == 1:
+            first.set()
+            while len(store._offered) < 3:
+                time.sleep(0.01)
+        take(batches, numbers)
+
+    monkeypatch.setattr(store, "_take", slow)
+    threads = [threading.Thread(target=store.apply, args=(name, t[name], 0)) for name in ("patient", "person", "obs", "patient_state")]
+    threads[0].start()
+    assert first.wait(60)
+    for thread in threads[1:]:
+        thread.start()
+    for thread in threads:
+        thread.join(300)
+    assert taken == [["patient"], ["obs", "patient_state", "person"]]
+    same(store.model(), readmodel.build(t, AS_OF))
+
+
 # ---- the audit -------------------------------------------------------------------
 
 def test_audit_knows_every_id_and_reads_only_slots_it_may_hit(spark, tmp_path):
