@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from quarterfold.llm.common import ascii_lower, free_names, table, text_of, written
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same words before A-Z are in lower case.
+RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WIDTH = 10
 GRAM = 5
 SPAN = WIDTH - GRAM + 1  # hashes of which one is kept
@@ -24,6 +26,11 @@ def _with_words(df: DataFrame) -> DataFrame:
     return df.withColumn("words", F.regexp_extract_all(ascii_lower(text_of("text")), F.lit(WORD), F.lit(0)))
 
 
+def word_count(text: Column) -> Column:
+    """Number of words. Case doesn't matter to it, so texts aren't lowered, which costs more than the count."""
+    return F.regexp_count(text, F.lit(RAW_WORD)).cast("long")
+
+
 def _grams(words: str, n: int, seed: int) -> Column:
     """Hashes of all runs of n of the hashed words."""
     at = F.col(words)
@@ -117,7 +124,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """
     counted = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of("text")).alias("key"), F.xxhash64(text_of("text"), F.lit(1)).alias("second"),
-        F.regexp_count(ascii_lower(text_of("text")), F.lit(WORD)).cast("long").alias("n_words"))
+        word_count(text_of("text")).alias("n_words"))
     none = F.lit(0).cast("long")
     return counted.join(_hits(docs, items), ["key", "second"], "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", none).alias("n_hit"), F.coalesce("n_items", none).alias("n_items"),

@@ -194,3 +194,14 @@ def test_pages_without_an_article_are_no_lesson(spark):
         got = op8_html.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
         right = [r.text == f"title {r.page_id}\n\n{prose(r.page_id, 30)}\n\n{prose(r.page_id + 1, 40)}" for r in got]
         assert sum(right) >= 114
+
+
+def test_words_of_documents_are_counted_without_lowering_the_text(spark):
+    from quarterfold.llm import op9_decontaminate as op9
+
+    texts = ["", "Abc DEF ghi", "A@Z[`a{z~0/9:x", "Ä-Ö ÅBİ  X", "UPPER_lower-09\x00Z\x7fq", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    counted = docs.select("doc_id", op9.word_count(op9.text_of("text")).alias("n"))
+    assert "translate" not in counted._jdf.queryExecution().optimizedPlan().toString()
+    lowered = {r.doc_id: len(r.words) for r in op9._with_words(docs).collect()}
+    assert {r.doc_id: r.n for r in counted.collect()} == lowered
