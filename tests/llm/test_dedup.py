@@ -147,6 +147,24 @@ def test_linked_sets_agree_in_an_empty_cell_alone():
         assert len(np.intersect1d(op7_jaccard.combinations(rule, x), op7_jaccard.combinations(rule, y)))
 
 
+def test_sketches_tell_sets_apart_that_just_miss(spark):
+    """Sets of 400 tokens that differ in a quarter more than linked ones may seldom pass the bound; linked ones always do."""
+    rule, rng = op7_jaccard.Rule(5, 80), np.random.default_rng(7)
+    rows = []
+    for i in range(200):
+        tokens = rng.integers(0, 1 << 63, 455, dtype=np.uint64)
+        for kind, shared in (("far", 345), ("linked", 356)):
+            sketches = []
+            for s in (tokens[:400], np.concatenate([tokens[:shared], tokens[400 : 800 - shared]])):
+                bits = np.bincount((s % np.uint64(op7_jaccard.SKETCH)).astype(np.int64), minlength=op7_jaccard.SKETCH) & 1
+                sketches.append((400, np.packbits(bits.astype(np.uint8)).view(np.int64).tolist()))
+            rows.append((kind, *sketches))
+    sketch = "struct<size: long, sketch: array<long>>"
+    found = spark.createDataFrame(rows, f"kind string, x {sketch}, y {sketch}").where(op7_jaccard._near(rule, "x", "y"))
+    passed = Counter(r.kind for r in found.collect())
+    assert passed["linked"] == 200 and passed["far"] < 20
+
+
 def test_similarity_of_nothing(spark):
     assert op7_jaccard.jaccard_components(odd_documents(spark, [])).count() == 0
 
