@@ -7,7 +7,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from quarterfold.plans import readmodel
+from quarterfold.plans import migration, readmodel
 from quarterfold.streaming import upkeep
 from quarterfold.streaming.audit import Audit
 from quarterfold.streaming.store import PatientStore
@@ -233,3 +233,40 @@ def test_audit_knows_every_id_and_reads_only_slots_it_may_hit(spark, tmp_path):
     assert audit.maybe(ids(10**9, 10**9 + 20000), 4).count() < 200
     audit.add(ids(0, 0), 4)
     assert sorted(r.obs_id for r in audit.known(ids(5, 7), 5).collect()) == [5, 6]
+
+
+def test_audit_of_many_batches_is_in_few_folders(spark, tmp_path):
+    audit = Audit(spark, str(tmp_path / "audit"), "obs_id")
+    ids = lambda a, b: spark.range(a, b).withColumnRenamed("id", "obs_id")
+    for batch in (*range(8), 5, 6, 7):  # the last three run again
+        audit.add(ids(100 * batch, 100 * batch + 100), batch)
+    for before in (1, 3, 6, 7, 8):
+        assert sorted(r.obs_id for r in audit.known(ids(0, 2000), before).collect()) == list(range(100 * before))
+    read = lambda n: sum("/rows/" in f for f in audit.known(ids(0, 100), n).inputFiles())
+    assert read(1) <= 16 and read(7) <= 48 and read(8) <= 16
+    assert audit.known(ids(0, 10).union(ids(0, 10)), 8).count() == 10
+
+
+def test_status_stream_counts_once_and_asks_for_status_alone(spark, tmp_path, monkeypatch):
+    t = Tiny(spark)
+    for i in range(1, 13):
+        t.patient(i).obs(i, i, 1576 if i % 3 else tiny.REGIMEN, "2000-01-03 00:00:00", value_coded=1742)
+    t.add("patient_program", patient_program_id=100, patient_id=2, program_id=1, date_created="2001-01-01 00:00:00")
+    offered = t["obs"].withColumn("creator", F.lit(1))
+    for wave in ("obs_id < 7", "obs_id BETWEEN 4 AND 9", "obs_id < 13"):
+        offered.where(wave).coalesce(1).write.mode("append").parquet(f"{tmp_path}/obs")
+    asked, known = [], Audit.known
+    monkeypatch.setattr(Audit, "known", lambda self, ids, before: asked.append(ids.count()) or known(self, ids, before))
+    stream = spark.readStream.schema(offered.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/obs")
+    upkeep.start_status_stream(stream, t, t, str(tmp_path / "target"), NOW).awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/target/states")
+    want, _ = migration.states_from_obs(offered, offered.select("obs_id").limit(0), t, t)
+    assert rows(got.drop("batch")) == rows(want) and got.count() == 8
+    assert got.where("state IS NULL").isEmpty() and got.where("patient_program_id = 100").count() == 1
+    assert sorted(asked) == [4, 4, 8]
+
+
+def test_latest_program_of_some_people(spark):
+    t = Tiny(spark).patient(1).patient(2).patient(3)
+    people = spark.createDataFrame([(2,), (2,), (9,), (None,)], "person_id long")
+    assert rows(migration.latest_program(t, people)) == rows(migration.latest_program(t).where("patient_id = 2"))
