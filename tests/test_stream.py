@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarterfold.plans import migration, readmodel
+from quarterfold.sources.scratch import CLEANUP
 from quarterfold.streaming import upkeep
 from quarterfold.streaming.audit import Audit
 from quarterfold.streaming.store import PatientStore
@@ -213,6 +214,65 @@ def test_batches_that_wait_are_taken_in_together(spark, tmp_path, monkeypatch):
     same(store.model(), readmodel.build(t, AS_OF))
 
 
+def many(spark, patients=12):
+    t = Tiny(spark)
+    for i in range(1, patients + 1):
+        t.patient(i).state(100 + i, i, tiny.ON_ART, "2000-02-01").drug(200 + i, i, "2000-05-01", "2000-06-01", 30, 1.0)
+        t.obs(i, i, tiny.REGIMEN, "2000-01-03 00:00:00", tiny.DISPENSING, value_text="A")
+    return t
+
+
+def shuffled(spark):
+    """Shuffle files on disk. Spark removes them in the background."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+
+def test_many_rows_are_derived_some_buckets_at_a_time(spark, tmp_path, monkeypatch):
+    t = many(spark)
+    store = PatientStore(spark, str(tmp_path / "store"), t, AS_OF, "ver", buckets=2, at_once=30)
+    rounds, derive = [], store._derive_buckets
+    monkeypatch.setattr(store, "_derive_buckets", lambda s, op, buckets, touched: rounds.append((buckets, touched is None)) or derive(
+        s, op, buckets, touched))
+    tables = {name: t[name] for name in SCHEMAS if name not in ("drug", "obs")}
+    store.load(tables | {"obs": t["obs"].selectExpr("* EXCEPT (ver, value_text)", "'Z' AS value_text", "1L AS ver")})
+    assert len(rounds) > 1 and all(every for _, every in rounds) and sorted(b for r, _ in rounds for b in r) == [0, 1]
+    rounds.clear()
+    store.apply("obs", t["obs"].filter("obs_id <= 3").withColumn("ver", F.lit(2)), 0)  # few patients: they alone
+    assert rounds and not any(every for _, every in rounds)
+    rounds.clear()
+    store.apply("obs", t["obs"].filter("obs_id > 1").withColumn("ver", F.lit(2)), 1)  # most patients: all
+    assert len(rounds) > 1 and all(every for _, every in rounds)
+    same(store.model(), readmodel.build(t, AS_OF))
+
+
+def test_a_round_that_broke_off_leaves_nothing(spark, tmp_path, monkeypatch):
+    t = many(spark)
+    store = PatientStore(spark, str(tmp_path / "store"), t, AS_OF, buckets=2, at_once=1)
+    tables = {name: t[name] for name in SCHEMAS if name != "drug"}
+    derive, done = store._derive_buckets, []
+    with monkeypatch.context() as m:
+        m.setattr(store, "_derive_buckets", lambda *given: derive(*given) if not done and not done.append(1) else 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store.load(tables)
+    store.load(tables)
+    same(store.model(), readmodel.build(t, AS_OF))
+
+
+def test_steps_leave_nothing_behind(spark, tmp_path):
+    t = many(spark, 3)
+    store = PatientStore(spark, str(tmp_path / "store"), t, AS_OF, buckets=2)
+    before = shuffled(spark)
+    store.load({name: t[name] for name in SCHEMAS if name != "drug"})
+    until = time.time() + 30
+    while shuffled(spark) > before and time.time() < until:
+        time.sleep(0.2)
+    assert shuffled(spark) <= before
+    assert not any((tmp_path / "store" / kept / "op=1").exists() for kept in ("quarters", "touched"))
+    assert spark.conf.get(CLEANUP) == "false"
+    same(store.model(), readmodel.build(t, AS_OF))
+
+
 # ---- the audit -------------------------------------------------------------------
 
 def test_audit_knows_every_id_and_reads_only_slots_it_may_hit(spark, tmp_path):
