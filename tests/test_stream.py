@@ -11,7 +11,7 @@ from quarterfold.plans import migration, readmodel
 from quarterfold.sources.scratch import CLEANUP
 from quarterfold.streaming import upkeep
 from quarterfold.streaming.audit import Audit
-from quarterfold.streaming.store import PatientStore
+from quarterfold.streaming.store import PatientStore, start_report_stream
 from tests import tiny
 from tests.tiny import SCHEMAS, Tiny, frame
 
@@ -273,6 +273,28 @@ def test_steps_leave_nothing_behind(spark, tmp_path):
     same(store.model(), readmodel.build(t, AS_OF))
 
 
+def test_streams_started_together_are_taken_in_together(spark, tmp_path, monkeypatch):
+    t = sample(spark)
+    store = PatientStore(spark, str(tmp_path / "store"), t, AS_OF, "ver", buckets=1)
+    taken = []
+
+    def take(batches, numbers):  # what is taken in is tested above
+        taken.append(sorted(numbers))
+
+    monkeypatch.setattr(store, "_take", take)
+    names, schemas = ("obs", "person", "patient_state", "encounter"), {}
+    for name in names:
+        t[name].coalesce(1).write.parquet(f"{tmp_path}/in/{name}")
+        schemas[name] = t[name].schema
+    streams = {name: spark.readStream.schema(schemas[name]).parquet(f"{tmp_path}/in/{name}") for name in names}
+    for q in start_report_stream(store, streams, NOW):
+        q.awaitTermination()
+    assert taken == [sorted(names)]
+    began = time.monotonic()
+    store.apply("obs", t["obs"], 1)  # streams that ended aren't waited for
+    assert taken[1:] == [["obs"]] and time.monotonic() - began < store.linger / 2
+
+
 # ---- the audit -------------------------------------------------------------------
 
 def test_audit_knows_every_id_and_reads_only_slots_it_may_hit(spark, tmp_path):
